@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from siftline.plans import census_queries, review_queries, session_queries, text_queries
+from siftline.plans.registry import ORACLES, QUERIES, Query
 
-from pyspark.sql import DataFrame, SparkSession
+MODULES = (census_queries, session_queries, text_queries, review_queries)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
