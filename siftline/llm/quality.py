@@ -5,7 +5,8 @@ thresholds turn the score s(x) into cumulative probabilities
 P(grade <= k) = sigmoid(threshold_k - s(x)).  From these come the expected
 grade and the tail probability P(grade >= k), by which documents are chosen.
 
-Features are the distinct lower-cased words of the whole text, hashed, with a
+Features are the distinct lower-cased words of the whole text and their
+beginnings of 4 to 6 bytes, hashed, as far as they tell grades apart, with a
 share of marked words (that hold a sign other than a letter, digit, comma or
 full stop) and of repeated words in steps.  The model is fitted on a bounded,
 deterministic sample of rated documents (``sample`` a grade, by hash of the
@@ -32,13 +33,18 @@ from siftline.llm import textnum, work
 
 BITS = 18
 SHARES = 32
+SIZE = (1 << BITS) + 2 * SHARES
+#: Lengths in bytes of the word beginnings that are features too.
+PREFIXES = (4, 5, 6)
+#: What a hashed feature must show between some pair of neighbouring grades to be used: z score, log odds.
+LEAST_Z, LEAST_ODDS = 5.0, 3.0
 #: Signs that ordinary words carry.
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), *b",."]] = True
 
 
 def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(feature index, row) of the distinct features of each row; off[0] is 0."""
+    """(feature index, row) of each row's features, repeated as words repeat; off[0] is 0."""
     rows = len(off) - 1
     starts, ends, row = textnum.word_spans(data, off)
     if len(starts) == 0:
@@ -46,17 +52,27 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     # words without the full stops and commas at their end
     bare = ends - np.isin(data[ends - 1], list(b",.")).astype(np.int64)
     bare = np.where(bare > starts, bare, ends)
-    h = textnum.span_hashes(data, starts, bare, lower=True)
-    hs, at = textnum.distinct_by_row((h >> np.uint64(64 - BITS)) + np.uint64(SHARES * 2), row, rows)
-    own = np.repeat(np.arange(rows), np.diff(at))
+    whole = textnum.span_hashes(data, starts, bare, lower=True)
+    hashes, owners = [whole], [row]
+    for n in PREFIXES:
+        long = bare - starts > n
+        hashes.append(textnum.span_hashes(data, starts[long], starts[long] + n, lower=True) * np.uint64(2 * n + 1))
+        owners.append(row[long])
     words = np.maximum(np.bincount(row, minlength=rows), 1)
     odd = np.concatenate([[0], np.cumsum(~_PLAIN[data] & ~textnum.IS_SPACE[data])])
     marked = np.bincount(row, odd[ends] > odd[starts], rows) / words
-    kinds = np.diff(np.searchsorted(row, np.arange(rows + 1)))
-    repeated = 1.0 - np.diff(at) / np.maximum(kinds, 1)
-    some = np.flatnonzero(kinds)
-    step = lambda x: np.minimum((x[some] * SHARES).astype(np.int64), SHARES - 1)
-    return np.concatenate([hs.astype(np.int64), step(marked), SHARES + step(np.clip(repeated, 0, 1))]), np.concatenate([own, some, some])
+    at = textnum.distinct_by_row(whole, row, rows)[1]
+    repeated = 1.0 - np.diff(at) / words
+    some = np.flatnonzero(np.diff(at))
+    step = lambda x: np.minimum((np.clip(x[some], 0, 1) * SHARES).astype(np.int64), SHARES - 1)
+    slots = (np.concatenate(hashes) >> np.uint64(64 - BITS)).astype(np.int64) + 2 * SHARES
+    return np.concatenate([slots, step(marked), SHARES + step(repeated)]), np.concatenate([*owners, some, some])
+
+
+def distinct(index: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each feature of a row once, rows in order."""
+    key = np.unique(row.astype(np.int64) * SIZE + index)
+    return key % SIZE, key // SIZE
 
 
 @dataclass
@@ -67,6 +83,9 @@ class OrdinalModel:
     thresholds: np.ndarray
 
     def score(self, index: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+        """The sum of the weights of each row's distinct features."""
+        hit = self.weights[index] != 0
+        index, row = distinct(index[hit], row[hit])
         return np.bincount(row, self.weights[index], rows)
 
     def at_least(self, score: np.ndarray) -> np.ndarray:
@@ -74,12 +93,34 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(-np.clip(score[:, None] - self.thresholds, -60, 60)))
 
 
+def telling(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int) -> np.ndarray:
+    """Which features tell grades apart: by a cut between grades, or between neighbours."""
+    out = np.zeros(SIZE, bool)
+    out[: 2 * SHARES] = True
+    counts = np.stack([np.bincount(index[grade[row] == k], minlength=SIZE) for k in range(grades)]).astype(float)
+    docs = np.bincount(grade, minlength=grades).astype(float)
+    every = range(grades)
+    for k in range(1, grades):
+        for high, low in ((every[k:], every[:k]), ([k], [k - 1])):
+            a, b, na, nb = counts[list(high)].sum(0), counts[list(low)].sum(0), docs[list(high)].sum(), docs[list(low)].sum()
+            if na and nb:
+                p = (a + b) / (na + nb)
+                z = np.abs(a / na - b / nb) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / na + 1 / nb))
+                odds = np.abs(np.log((a + 0.5) / (na - a + 0.5)) - np.log((b + 0.5) / (nb - b + 0.5)))
+                out |= (z >= LEAST_Z) & (odds >= LEAST_ODDS)
+    return out
+
+
 def fit(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, ridge: float = 3e-4, steps: int = 150) -> OrdinalModel:
-    """Maximum likelihood with a ridge penalty, by full-batch Adam; weighted so that grades count alike."""
-    size = (1 << BITS) + SHARES * 2
+    """Maximum likelihood with a ridge penalty, by full-batch Adam; weighted so that grades count alike.
+
+    index and row are distinct features; those that tell no grades apart are left out.
+    """
     n = len(grade)
     if n == 0 or len(np.unique(grade)) < 2:
-        return OrdinalModel(np.zeros(size), np.full(grades - 1, -60.0))
+        return OrdinalModel(np.zeros(SIZE), np.full(grades - 1, -60.0))
+    chosen = telling(index, row, grade, grades)[index]
+    index, row = index[chosen], row[chosen]
     used, index = np.unique(index, return_inverse=True)
     share = np.bincount(grade, minlength=grades).astype(float)
     weight = (1.0 / np.maximum(share, 1))[grade]
@@ -88,7 +129,6 @@ def fit(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, ridg
     gaps = np.zeros(grades - 1)  # the first threshold, then logs of the differences
     gaps[0] = -1.0
     m1, v1 = np.zeros(len(w) + len(gaps)), np.zeros(len(w) + len(gaps))
-    above = grade[:, None] >= np.arange(1, grades)
     for t in range(1, steps + 1):
         theta = gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))])
         s = np.bincount(row, w[index], n)
@@ -111,9 +151,8 @@ def fit(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, ridg
         move = 0.08 * (m1 / (1 - 0.9**t)) / (np.sqrt(v1 / (1 - 0.99**t)) + 1e-9)
         w -= move[: len(w)]
         gaps -= move[len(w) :]
-    out = np.zeros(size)
+    out = np.zeros(SIZE)
     out[used] = w
-    assert above.shape[1] == grades - 1
     return OrdinalModel(out, gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))]))
 
 
@@ -138,8 +177,8 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int = 3, sample: int = 30
         for batch in batches:
             data, off = textnum.column_bytes(batch.column("text"))
             for i, j in textnum.slices(off):
-                index, row = features(data[off[i] : off[j]], off[i : j + 1] - off[i])
-                index = index[np.argsort(row, kind="stable")].astype("<i4")
+                index, row = distinct(*features(data[off[i] : off[j]], off[i : j + 1] - off[i]))
+                index = index.astype("<i4")
                 at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i).cast(pa.int64()), batch.column("grade").slice(i, j - i).cast(pa.int32()), pa.array([index[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["doc_id", "grade", "features"])
 
@@ -158,7 +197,7 @@ def classify(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> Da
     """
     spark = docs.sparkSession
     work.tune(spark)
-    sent = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))  # 2**BITS floats, a constant
+    sent = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))  # SIZE floats, a constant
     extra = ["expected_grade", "tail_probability", "keep"]
     docs = docs.drop(*extra)
 
