@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from siftline.plans import census_queries, review_queries, session_queries, stream_queries, text_queries
+from siftline.plans import census_queries, document_queries, review_queries, session_queries, stream_queries, text_queries
 from siftline.plans.registry import ORACLES, QUERIES, Query
 
-MODULES = (census_queries, session_queries, text_queries, review_queries, stream_queries)
+MODULES = (census_queries, session_queries, text_queries, review_queries, stream_queries, document_queries)
 
 
 def queries() -> dict[str, Query]:
