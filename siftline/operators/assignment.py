@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftline.functions import lexicons as L
+from siftline.operators import groups
 
 SCALE = 1_000_000
 
@@ -95,8 +96,8 @@ def cost_matrix(slot_rows: DataFrame, rows: DataFrame) -> DataFrame:
     """
     pairs = rows.alias("r").crossJoin(F.broadcast(slot_rows).alias("s"))
     pairs = pairs.select(F.col("s.slot_id"), F.col("r.packet_id"), distance().alias("distance"), F.sha2(F.concat(F.col("s.slot_id"), F.lit("\0"), F.col("r.packet_id")), 256).alias("choice"))
-    rank = F.row_number().over(Window.partitionBy("slot_id").orderBy("choice"))
-    return pairs.withColumn("choice_rank", rank).withColumn("cost", F.col("distance").cast("long") * SCALE + F.col("choice_rank")).drop("choice")
+    ranked = groups.hash_ranks(pairs, "choice", ["slot_id"]).withColumn("choice_rank", F.col("rank").cast("int")).drop("rank", "n")
+    return ranked.withColumn("cost", F.col("distance").cast("long") * SCALE + F.col("choice_rank")).drop("choice")
 
 
 def select_pilot(slot_rows: DataFrame, rows: DataFrame) -> DataFrame:

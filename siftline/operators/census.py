@@ -19,6 +19,11 @@ def in_window(ts: Column, start: Column, cutoff: Column) -> Column:
     return F.coalesce((ts >= start) & (ts < cutoff), F.lit(False))
 
 
+def window_filter(ts: Column, start: Column, cutoff: Column) -> Column:
+    """The half-open window as a filter: bare comparisons, which reach the Parquet scan."""
+    return (ts >= start) & (ts < cutoff)
+
+
 def in_closed_window(ts: Column, start: Column, cutoff: Column) -> Column:
     """The probe's window, closed at the cutoff."""
     return F.coalesce(ts.between(start, cutoff), F.lit(False))

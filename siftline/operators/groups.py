@@ -29,20 +29,36 @@ def dependence_groups(rows: DataFrame, identity: dict[str, Column], member: str,
     )
 
 
+def hash_ranks(rows: DataFrame, choice: str, strata: list[str]) -> DataFrame:
+    """rows with rank (1 is the smallest hash) and n, the size of the stratum.
+
+    Ranks come from counts by leading digits plus a rank within these, so that
+    a stratum spreads over thousands of windows and none is sorted in one task.
+    """
+    keys = strata or ["_all"]
+    rows = rows if strata else rows.withColumn("_all", F.lit(1))
+    rows = rows.withColumn("_digits", F.substring(choice, 1, 3))
+    counts = rows.groupBy(*keys, "_digits").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*keys)
+    running = whole.orderBy("_digits").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keys)), F.col("_digits").alias("_d"), F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_before"), F.sum("_n").over(whole).alias("n"))
+    same = F.col("_digits") == F.col("_d")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_{i}"))
+    within = F.row_number().over(Window.partitionBy(*keys, "_digits").orderBy(choice))
+    ranked = rows.withColumn("_rank", within).join(counts, same)
+    drop = ["_digits", "_d", "_before", "_rank", *(f"_{i}" for i in range(len(keys))), *([] if strata else ["_all"])]
+    return ranked.withColumn("rank", (F.col("_before") + F.col("_rank")).cast("long")).drop(*drop)
+
+
 def hash_sample(rows: DataFrame, key: str, salt: str, share: float, strata: list[str] | None = None) -> DataFrame:
     """The ceil(n * share) rows with the smallest salted hashes (of each stratum).
 
     The order comes from the hash alone, so reruns and other partitionings agree.
-    Without strata the cut is found from the n-th smallest hash of a sort, not in one window.
     """
     chosen = F.sha2(F.concat(F.lit(salt), F.lit("\0"), F.col(key).cast("string")), 256)
-    rows = rows.withColumn("choice", chosen)
-    if strata:
-        w = Window.partitionBy(*strata)
-        rank = F.row_number().over(w.orderBy("choice"))
-        return rows.withColumn("n", F.count(F.lit(1)).over(w)).withColumn("rank", rank).filter(F.col("rank") <= F.ceil(F.col("n") * share)).drop("n")
-    wanted = -(-rows.count() * int(round(share * 1_000_000)) // 1_000_000)
-    return rows.orderBy("choice").limit(wanted)
+    ranked = hash_ranks(rows.withColumn("choice", chosen), "choice", strata or [])
+    return ranked.filter(F.col("rank") <= F.ceil(F.col("n") * share)).drop("n")
 
 
 def route(groups: DataFrame, label: str, kind: str, positives: tuple[str, ...], sampled_kinds: tuple[str, ...], key: str, salt: str, share: float) -> DataFrame:

@@ -28,7 +28,7 @@ SELECT user_id, count(*) AS events, sum(octet_length(encode(props))) AS canonica
   count(DISTINCT event_type) AS kinds
 FROM events WHERE {_WINDOW} GROUP BY user_id""")
 def census_window_counts(spark, sf):
-    e = table(spark, sf, "events").filter(_inside())
+    e = table(spark, sf, "events").filter(census.window_filter(F.col("ts"), _at(START), _at(CUTOFF)))
     return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.sum(F.octet_length("props")).alias("canonical_bytes"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.countDistinct("event_type").alias("kinds"))
 
 
@@ -146,7 +146,7 @@ FROM a FULL OUTER JOIN b ON a.user_id = b.user_id""")
 def cross_scan_delta(spark, sf):
     e = table(spark, sf, "events")
     count = lambda df: df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return census.delta(count(e.filter((F.col("ts") < _at(START)) & (F.col("event_id") % 5 == 0))), count(e.filter(_inside() & (F.col("event_id") % 9 == 0))), "user_id", "n")
+    return census.delta(count(e.filter((F.col("ts") < _at(START)) & (F.col("event_id") % 5 == 0))), count(e.filter(census.window_filter(F.col("ts"), _at(START), _at(CUTOFF)) & (F.col("event_id") % 9 == 0))), "user_id", "n")
 
 
 @query("""

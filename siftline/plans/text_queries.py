@@ -227,6 +227,6 @@ def hash_sample(spark, sf):
     from siftline.operators import groups
 
     docs = table(spark, sf, "documents").select("lang", "doc_id")
-    return groups.hash_sample(docs, "doc_id", "probe", 0.1, ["lang"]).select("lang", "doc_id", "rank")
+    return groups.hash_sample(docs, "doc_id", "probe", 0.1, ["lang"]).select("lang", "doc_id", F.col("rank").cast("int").alias("rank"))
 
 

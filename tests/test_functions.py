@@ -157,3 +157,19 @@ def test_unknown_provenance_is_alone(spark):
     rows = spark.createDataFrame([(1, "?", 10), (2, None, 11), (3, "a", 12), (4, "a", 9)], "m int, a string, p int")
     out = groups.dependence_groups(rows, {"harness": F.lit("h"), "anchor": F.col("a")}, "m", "p").collect()
     assert sorted((r.members, r.representative) for r in out) == [([1], 10), ([2], 11), ([3, 4], 9)]
+
+
+def test_hash_ranks(spark):
+    rows = spark.createDataFrame([(s, f"{s}{k}") for s, n in (("a", 300), ("b", 7), (None, 3)) for k in range(n)], "s string, k string").withColumn("h", F.sha2(F.col("k"), 256))
+    got = groups.hash_ranks(rows, "h", ["s"]).collect()
+    for s in ("a", "b", None):
+        mine = sorted((r for r in got if r.s == s), key=lambda r: r.h)
+        assert [r["rank"] for r in mine] == list(range(1, len(mine) + 1)) and all(r.n == len(mine) for r in mine)
+    assert sorted(r["rank"] for r in groups.hash_ranks(rows, "h", []).collect()) == list(range(1, 311))
+
+
+def test_window_reaches_the_scan(spark):
+    from siftline.plans import catalogue
+
+    plan = catalogue.queries()["census_window_counts"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan and "LessThan(ts" in plan and "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
