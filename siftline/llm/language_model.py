@@ -35,7 +35,7 @@ from siftline.llm import textnum, work
 END = np.uint64(0x5EED0E2D0F7E8701)
 BEGIN = np.uint64(0x1B06A3D5B16B00B5)
 #: Bytes of text in a unit.
-UNIT_BYTES = 24 << 20
+UNIT_BYTES = 8 << 20
 #: Context-frequency buckets: 0, 1, 2, 3, 4-7, 8-15, ... doubling.
 BUCKETS = 20
 #: Steps of the held-out histogram to a factor of two of a probability, and its depth.
