@@ -130,23 +130,21 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     Documents are taken whole; the columns are those of docs.
     """
     columns = docs.columns
-    turns = passes(mix(docs, whole=True, **settings)).select(F.col("doc_id").alias("m_doc"), F.col("source").alias("m_source"), "turn", "position", "size")
-    one = turns.groupBy("m_doc", "m_source", "size").agg(F.collect_list(F.struct("turn", "position")).alias("turns"), F.countDistinct("turn").alias("n"))
-    # repeated rows of a document share its passes: each row takes its own share of the list
-    one = one.select("m_doc", "m_source", "size", F.expr("transform(array_sort(turns), x -> x.position)").alias("at"), "n")
-    rank = Window.partitionBy("doc_id", "source", "m_size").orderBy("m_tie")
-    body = docs.withColumn("m_size", word_count(F.col("text"))).withColumn("m_tie", F.xxhash64("text"))
-    many = turns.groupBy("m_doc", "m_source", "size", "turn").count().filter(F.col("count") > 1).limit(1).count()
-    if many:
-        body = body.withColumn("m_rank", F.row_number().over(rank))
-        same = Window.partitionBy("doc_id", "source", "m_size")
-        body = body.withColumn("m_rows", F.count(F.lit(1)).over(same))
-        own = F.expr("filter(at, (x, i) -> i % m_rows = m_rank - 1)")
-    else:
-        own = F.col("at")
-    joined = body.join(one, F.col("doc_id").eqNullSafe(F.col("m_doc")) & F.col("source").eqNullSafe(F.col("m_source")) & (F.col("m_size") == F.col("size")))
-    sent = joined.withColumn("m_at", F.explode(own))
+    p = "__mix_"  # own columns carry a prefix, so that none of docs clashes
+    turns = passes(mix(docs, whole=True, **settings)).select(F.col("doc_id").alias(f"{p}doc"), F.col("source").alias(f"{p}source"), F.col("size").alias(f"{p}words"), "turn", "position")
+    own = [f"{p}doc", f"{p}source", f"{p}words"]
+    one = turns.groupBy(*own).agg(F.array_sort(F.collect_list(F.struct("turn", "position"))).alias(f"{p}turns"))
+    one = one.withColumn(f"{p}at", F.expr(f"transform({p}turns, x -> x.position)")).drop(f"{p}turns")
+    body = docs.withColumn(f"{p}size", word_count(F.col("text")))
+    at = F.col(f"{p}at")
+    # repeated rows of a document share its list of passes: each row takes its own part
+    if turns.groupBy(*own, "turn").count().filter("count > 1").limit(1).count():
+        same = Window.partitionBy("doc_id", "source", f"{p}size")
+        body = body.withColumn(f"{p}rank", F.row_number().over(same.orderBy(F.xxhash64("text")))).withColumn(f"{p}rows", F.count(F.lit(1)).over(same))
+        at = F.expr(f"filter({p}at, (x, i) -> i % {p}rows = {p}rank - 1)")
+    match = F.col("doc_id").eqNullSafe(F.col(f"{p}doc")) & F.col("source").cast("string").eqNullSafe(F.col(f"{p}source")) & (F.col(f"{p}size") == F.col(f"{p}words"))
+    sent = body.join(one, match).withColumn(f"{p}now", F.explode(at))
     # times spread evenly over words, so equal ranges of time are even partitions without sampling
     n = work.partitions(docs.sparkSession)
-    part = F.least(F.floor(F.col("m_at") * n), F.lit(n - 1)).cast("int")
-    return sent.repartitionById(n, part).sortWithinPartitions("m_at", "doc_id").select(*columns)
+    part = F.least(F.floor(F.col(f"{p}now") * n), F.lit(n - 1)).cast("int")
+    return sent.repartitionById(n, part).sortWithinPartitions(f"{p}now", "doc_id").select(*columns)

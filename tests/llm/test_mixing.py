@@ -25,7 +25,7 @@ def plain_targets(sizes, budget, cap):
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    return spark.createDataFrame([(*r, 1.0) for r in ROWS], "doc_id long, text string, source string, position double")
+    return spark.createDataFrame([(*r, 1.0, 2, 3, "x") for r in ROWS], "doc_id long, text string, source string, position double, size int, turn int, at string")
 
 
 def test_targets_and_words(spark, docs):
