@@ -8,8 +8,8 @@ the ranges of entries that share x signs with the query hold enough distinct
 candidates.  Those are ranked exactly in double precision.
 
 Rows are dealt into blocks of bounded size by a hash of their id, each with a
-forest of its own; the stated queries go to every block, and the best of all
-blocks are merged, so no hot vector gathers in one task.
+forest of its own; the stated queries go to every block, in blocks of their own,
+and the best of all are merged, so no hot vector gathers in one task.
 
 Defined cases: vectors that are null, zero, of another length than the
 longest run of the table, or hold null or non-finite components take no part;
@@ -106,7 +106,7 @@ def best(ids: np.ndarray, vectors: np.ndarray, q_ids: np.ndarray, q_vectors: np.
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = 4096, trees: int = 32, bits: int = 32, share: float = 0.6, least: int = 256, seed: int = 11) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = 4096, block_queries: int = 2048, trees: int = 32, bits: int = 32, share: float = 0.6, least: int = 256, seed: int = 11) -> DataFrame:
     """Nearest rows of vectors (vec_id, embedding) for queries (vec_id, embedding).
 
     share is the part of each block that the ascent gathers before it stops
@@ -129,9 +129,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
     rows, asked = rows.filter(F.size("embedding") == width), asked.filter(F.size("embedding") == width)
     # a query id that repeats is asked once, with its smallest vector
     asked = asked.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    blocks = max(1, -(-total // block_rows))
-    own = rows.select(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).alias("block"), F.lit(False).alias("asks"), "vec_id", "embedding")
-    sent = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(True).alias("asks"), "vec_id", "embedding")
+    # every block of rows meets every block of queries; neither grows with the table
+    blocks, parts = max(1, -(-total // block_rows)), max(1, -(-asked.count() // block_queries))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    own = rows.select(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(blocks)).alias("block"), every(parts).alias("part"), F.lit(False).alias("asks"), "vec_id", "embedding")
+    sent = asked.select(every(blocks).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(parts)).alias("part"), F.lit(True).alias("asks"), "vec_id", "embedding")
 
     def find(table: pa.Table) -> pa.Table:
         asks = table["asks"].to_numpy().astype(bool)
@@ -147,6 +149,6 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, block_rows: int =
             got = best(ids[~asks], x[~asks], ids[asks], x[asks], k, trees, bits, share, least, seed)
         return pa.table({"query_id": pa.array(got[0], pa.int64()), "vec_id": pa.array(got[1], pa.int64()), "score": pa.array(got[2], pa.float64())})
 
-    found = own.unionByName(sent).groupBy("block").applyInArrow(find, RESULTS)
+    found = own.unionByName(sent).groupBy("block", "part").applyInArrow(find, RESULTS)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from siftline.llm import textnum, tokens, work
 
+#: Pieces of a group at most, about.
+GROUP_PIECES = 1 << 18
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = PIECES + ", sequence_id long, offset long"
 
@@ -100,8 +102,8 @@ def pack(parts: DataFrame, capacity: int = 4096, group_tokens: int = 16 << 20) -
     """Place pieces (PIECES, perhaps ids) into sequences: adds sequence_id and offset."""
     spark = parts.sparkSession
     parts = work.stored(parts, work.folder(spark, "pieces"))
-    total = parts.agg(F.sum("length")).first()[0] or 0
-    groups = max(1, -(-int(total) // group_tokens))
+    total, count = parts.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
+    groups = max(1, -(-int(total) // group_tokens), -(-count // GROUP_PIECES))
     names = parts.columns
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", sequence_id long, offset long"
 

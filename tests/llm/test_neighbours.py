@@ -25,7 +25,7 @@ def test_recall(spark, kind):
         x = (rng.normal(size=(20, 32))[rng.integers(0, 20, n)] * 3 + x).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     got = {}
-    for r in neighbours.search(df, df.filter("vec_id % 50 = 0"), block_rows=2048).collect():
+    for r in neighbours.search(df, df.filter("vec_id % 50 = 0"), block_rows=2048, block_queries=50).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     want = brute(x.astype(float), np.arange(n), range(0, n, 50))
     hits = sum(len(set(want[q]) & {v for _, v, _ in rows}) for q, rows in got.items())
