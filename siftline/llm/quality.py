@@ -37,7 +37,7 @@ SIZE = (1 << BITS) + 2 * SHARES
 #: Lengths in bytes of the word beginnings that are features too.
 PREFIXES = (4, 5, 6)
 #: What a hashed feature must show between some pair of neighbouring grades to be used: z score, log odds.
-LEAST_Z, LEAST_ODDS = 5.0, 3.0
+LEAST_Z, LEAST_ODDS = 6.0, 4.0
 #: Signs that ordinary words carry.
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), *b",."]] = True
@@ -111,7 +111,7 @@ def telling(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int)
     return out
 
 
-def fit(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, ridge: float = 3e-4, steps: int = 150) -> OrdinalModel:
+def fit(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, ridge: float = 3e-5, steps: int = 400) -> OrdinalModel:
     """Maximum likelihood with a ridge penalty, by full-batch Adam; weighted so that grades count alike.
 
     index and row are distinct features; those that tell no grades apart are left out.
