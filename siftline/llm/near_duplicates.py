@@ -43,6 +43,8 @@ WORDS = 5
 THRESHOLD = 0.8
 #: Classes of a component compared in one block, and MinHash values a step.
 BLOCK, STEP = 512, 16
+#: Classes with more than this part of all rows are joined apart; there are at most as many.
+LARGE = 1000
 
 _rng = np.random.default_rng(20240607)
 _MUL = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -307,9 +309,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     heads = groups.join(classes.select("node", "first_doc"), "node").groupBy("comp").agg(F.min("first_doc").alias("head"))
     linked = groups.join(heads, "comp").select("node", "head").join(counted, "node", "left")
     known = classes.select("node", "first_doc", "copies").join(linked, "node", "left").select(
-        "node", F.coalesce("head", "first_doc").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        "node", F.coalesce("head", "first_doc").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("copies").alias("n_copies")
     )
-    out = signed.select("doc_id", "node").join(known, "node", "left")
+    # at most LARGE classes hold more than 1/LARGE of the rows each: those are broadcast, so that no task gets a large class whole
+    least = signed.count() // LARGE
+    rows = signed.select("doc_id", "node")
+    large = F.broadcast(known.filter(F.col("n_copies") > least).drop("n_copies").limit(LARGE))
+    rest = rows.join(large.select("node"), "node", "left_anti").join(known.filter(F.col("n_copies") <= least).drop("n_copies"), "node", "left")
+    out = rows.join(large, "node").unionByName(rest)
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
