@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,9 +167,10 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int = 3, sample: int = 30
     """Fit on at most sample rated documents of each grade (doc_id, grade)."""
     # the sample is drawn from ids alone, before any text is read
     lot = F.xxhash64("doc_id")
-    first = Window.partitionBy("grade").orderBy(lot, "doc_id")
-    chosen = ratings.filter(F.col("grade").between(0, grades - 1)).withColumn("lot", F.row_number().over(first)).filter(F.col("lot") <= sample)
-    chosen = chosen.select("doc_id", "grade").limit(sample * grades)
+    by_grade = [ratings.filter(F.col("grade") == k).select("doc_id", "grade").orderBy(lot, "doc_id").limit(sample) for k in range(grades)]
+    chosen = by_grade[0]
+    for part in by_grade[1:]:
+        chosen = chosen.unionByName(part)
     # bounded: at most sample * grades ids
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
