@@ -34,6 +34,8 @@ from siftline.llm import textnum, work
 BITS = 18
 SHARES = 32
 SIZE = (1 << BITS) + 2 * SHARES
+#: Bytes of text whose features are held at a time.
+SLICE = 1 << 20
 #: Lengths in bytes of the word beginnings that are features too.
 PREFIXES = (4, 5, 6)
 #: What a hashed feature must show between some pair of neighbouring grades to be used: z score, log odds.
@@ -97,7 +99,8 @@ def telling(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int)
     """Which features tell grades apart: by a cut between grades, or between neighbours."""
     out = np.zeros(SIZE, bool)
     out[: 2 * SHARES] = True
-    counts = np.stack([np.bincount(index[grade[row] == k], minlength=SIZE) for k in range(grades)]).astype(float)
+    graded = grade.astype(np.int8)[row]
+    counts = np.stack([np.bincount(index[graded == k], minlength=SIZE) for k in range(grades)]).astype(float)
     docs = np.bincount(grade, minlength=grades).astype(float)
     every = range(grades)
     for k in range(1, grades):
@@ -177,7 +180,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int = 3, sample: int = 30
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = textnum.column_bytes(batch.column("text"))
-            for i, j in textnum.slices(off):
+            for i, j in textnum.slices(off, SLICE):
                 index, row = distinct(*features(data[off[i] : off[j]], off[i : j + 1] - off[i]))
                 index = index.astype("<i4")
                 at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
@@ -185,10 +188,12 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int = 3, sample: int = 30
 
     work.tune(docs.sparkSession)
     got = rows.mapInArrow(featured, "doc_id long, grade int, features binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    lists = [np.frombuffer(r.features, "<i4") for r in got]
-    index = np.concatenate(lists).astype(np.int64) if lists else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    return fit(index, row, np.array([r.grade for r in got], np.int64), grades)
+    # narrow arrays, and the rows dropped as soon as they are copied: this is the driver's memory
+    grade = np.array([r.grade for r in got], np.int64)
+    sizes = [len(r.features) // 4 for r in got]
+    index = np.frombuffer(b"".join(r.features for r in got), "<i4")
+    del got
+    return fit(index, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), grade, grades)
 
 
 def classify(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:
@@ -206,7 +211,7 @@ def classify(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> Da
         own = OrdinalModel(*sent.value)
         for batch in batches:
             data, off = textnum.column_bytes(batch.column("text"))
-            for i, j in textnum.slices(off):
+            for i, j in textnum.slices(off, SLICE):
                 tails = own.at_least(own.score(*features(data[off[i] : off[j]], off[i : j + 1] - off[i]), j - i))
                 part = batch.slice(i, j - i)
                 columns = [*part.columns, pa.array(tails.sum(1)), pa.array(tails[:, -1]), pa.array(tails[:, -1] >= threshold)]
