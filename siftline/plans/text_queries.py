@@ -78,7 +78,7 @@ def unsafe_scan(spark, sf):
 WITH c AS (SELECT doc_id, unnest(string_split(left(text, 200), '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY doc_id, ch), t AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY doc_id)
 SELECT doc_id, round(-sum(n / total * log2(n / total)), 6) AS bits FROM n JOIN t USING (doc_id) GROUP BY doc_id""")
 def entropy(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.round(text.entropy(F.substring("text", 1, 200)), 6).alias("bits"))
+    return table(spark, sf, "documents").select("doc_id", F.round(text.entropy(F.col("text")), 6).alias("bits"))
 
 
 @query()
