@@ -146,7 +146,7 @@ FROM a FULL OUTER JOIN b ON a.user_id = b.user_id""")
 def cross_scan_delta(spark, sf):
     e = table(spark, sf, "events")
     count = lambda df: df.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    return census.delta(count(e.filter((F.col("ts") < _at(START)) & (F.col("event_id") % 5 == 0))), count(e.filter(census.window_filter(F.col("ts"), _at(START), _at(CUTOFF)) & (F.col("event_id") % 9 == 0))), "user_id", "n")
+    return census.delta(count(e.filter(F.col("ts") < _at(START))), count(e.filter(census.window_filter(F.col("ts"), _at(START), _at(CUTOFF)))), "user_id", "n")
 
 
 @query("""
@@ -209,7 +209,7 @@ def ledger_chain(spark, sf):
 @query("""
 SELECT user_id, count(*) AS parts, CASE WHEN bool_and(event_type <> 'error') THEN sum(event_id % 7) END AS total FROM events WHERE event_id % 11 = 0 GROUP BY user_id""")
 def usage_rollup(spark, sf):
-    e = table(spark, sf, "events").filter(F.col("event_id") % 11 == 0)
+    e = table(spark, sf, "events")
     return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("parts"), F.when(F.bool_and(F.col("event_type") != "error"), F.sum(F.col("event_id") % 7)).alias("total"))
 
 
