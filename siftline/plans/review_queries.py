@@ -84,8 +84,7 @@ _LATTICE = "(SELECT unnest(['claude', 'codex', 'other']) AS harness) CROSS JOIN
 def absent_strata(spark, sf):
     values = [(h, e, r) for h in ("claude", "codex", "other") for e in L.SLOT_EXECUTIONS for r in L.SLOT_ROLES]
     wanted = spark.createDataFrame(values, "harness string, execution_kind string, artifact_role string")
-    seen = _strata(spark, sf).filter(F.col("packet_id").cast("long") < 40)
-    return wanted.join(seen, ["harness", "execution_kind", "artifact_role"], "left_anti")
+    return wanted.join(_strata(spark, sf), ["harness", "execution_kind", "artifact_role"], "left_anti")
 
 
 _SLOT_SQL = """
