@@ -66,7 +66,7 @@ SELECT doc_id, {_CRED} AS rules FROM t""")
 def credential_scan(spark, sf):
     k, h = F.col("doc_id") % 20, F.sha2("text", 256)
     spiked = F.concat("text", F.when(k == 3, " AKIA" + "ABCDEFGHIJKLMNOP").when(k == 5, F.concat(F.lit(" Bearer "), h)).when(k == 7, F.concat(F.lit(" ghp_"), h)).otherwise(""))
-    return table(spark, sf, "documents").select("doc_id", spiked.alias("t")).select("doc_id", text.credential_ids(F.col("t"), _SAFE).alias("rules"))
+    return table(spark, sf, "documents").select("doc_id", spiked.alias("t")).select("doc_id", text.credential_ids(F.col("t")).alias("rules"))
 
 
 @query("SELECT page_id, " + " OR ".join(f"regexp_matches(html, '{p}')" for p in L.MARKUP) + " AS unsafe FROM pages")
