@@ -5,7 +5,8 @@ splitting into pieces, finding distinct ones and gathering their ids are
 array operations.  The splitting follows the two pre-tokenisers in use (byte
 level with leading spaces, and lower-cased words), for characters below
 U+0250.  A text with any other character goes to the library as a whole, so
-that every result equals ``Tokenizer.encode`` (tested).
+that every result equals ``Tokenizer.encode`` (tested).  So does a text that
+holds an added token, where those are looked for as the library does by default.
 """
 
 from __future__ import annotations
@@ -42,14 +43,19 @@ def _byte_letters() -> list[str]:
 
 
 class Encoder:
-    """Whole texts to ids, equal to the tokenizer's own without special tokens."""
+    """Whole texts to ids, equal to the tokenizer's own without special tokens.
 
-    def __init__(self, path: str):
+    With added, the text of an added token is that token, the library's default;
+    without, it is split as any other text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = not added
         spec = json.loads(self.whole.to_str())
+        self.added = [t["content"].lower().encode() for t in spec["added_tokens"]] if added else []
         self.lowered = spec["pre_tokenizer"]["type"] == "Sequence"
         self.model = self.whole.model
         self.classes = _classes(self.lowered)
@@ -122,6 +128,18 @@ class Encoder:
                         start[q + 1 + size] = True
         return kind, start
 
+    def _with_added(self, data: np.ndarray) -> list[int]:
+        """Where an added token may start, in any case of letters."""
+        from siftline.llm.textnum import LOWER
+
+        found, raw = [], LOWER[data].tobytes() if self.added else b""
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                found.append(at)
+                at = raw.find(token, at + 1)
+        return found
+
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets of the rows) for UTF-8 rows; off[0] is 0."""
         from siftline.llm.textnum import span_hashes
@@ -134,7 +152,7 @@ class Encoder:
         ends = np.append(begins[1:], n)
         row = np.searchsorted(off, begins, "right") - 1
         foreign = np.zeros(rows, bool)
-        odd = np.flatnonzero(kind == FOREIGN)
+        odd = np.concatenate([np.flatnonzero(kind == FOREIGN), np.array(self._with_added(data), np.int64)])
         foreign[np.searchsorted(off, odd, "right") - 1] = True
         keep = ~foreign[row]
         if self.lowered:
@@ -180,7 +198,7 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """One per worker process and vocabulary."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added=True)
     return _encoders[path]
 
 
