@@ -36,10 +36,10 @@ END = np.uint64(0x5EED0E2D0F7E8701)
 BEGIN = np.uint64(0x1B06A3D5B16B00B5)
 #: Bytes of text in a unit.
 UNIT_BYTES = 8 << 20
-#: Context-frequency buckets: 0, 1, 2, 3, 4-7, 8-15, ... doubling.
-BUCKETS = 20
-#: Steps of the held-out histogram to a factor of two of a probability, and its depth.
-STEPS, DEPTH = 4, 28
+#: Context-frequency buckets: 0, 1, 2, 3, 4-7, 8-15, ... doubling, as far as counts of 64 bits go.
+BUCKETS = 65
+#: Steps of the held-out histogram to a factor of two of a probability, and its depth: that of one in 2**63.
+STEPS, DEPTH = 4, 63
 BINS = STEPS * DEPTH + 2
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
