@@ -12,12 +12,20 @@ row each).  A unit asks for the counts of its distinct n-grams: sorted hashes,
 delta-coded, dealt by the hash itself, so that a frequent n-gram is one entry
 a unit and no key is hot.  A counting task adds up what the units saw in
 training documents, and answers each unit with the totals in the order of its
-request.  Units then score with local arrays.  What travels grows with the
-number of distinct n-grams of the units, not with tokens times documents.
+request.  Units meet their answers once; what is kept of them are the counts
+of each token's n-grams and a histogram for the fit, so that scoring reads
+neither texts nor hashes again.  What travels grows with the number of distinct
+n-grams of the units, not with tokens times documents.
+
+A context needs no counts of its own: every word of a training document is
+followed by exactly one token, so the context of a token is seen as often as
+the shorter n-gram that ends before it, and the bare beginning as often as
+there are training documents.
 
 Defined cases: a null or empty text is the end token alone; an empty table has
 an empty result; without training documents all counts are zero and both scores
-are uniform; a repeated row counts each time; other columns are ignored.
+are those of the uniform distribution; a repeated row counts each time; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +42,8 @@ from siftline.llm import textnum, work
 
 END = np.uint64(0x5EED0E2D0F7E8701)
 BEGIN = np.uint64(0x1B06A3D5B16B00B5)
-#: Bytes of text in a unit.
-UNIT_BYTES = 8 << 20
+#: Bytes of text in a unit, and of all texts to a counting task (of single words, eight times as many).
+UNIT_BYTES, TASK_BYTES = 8 << 20, 12 << 20
 #: Context-frequency buckets: 0, 1, 2, 3, 4-7, 8-15, ... doubling, as far as counts of 64 bits go.
 BUCKETS = 65
 #: Steps of the held-out histogram to a factor of two of a probability, and its depth: that of one in 2**63.
@@ -57,8 +65,8 @@ def _deltas(sorted_hashes: np.ndarray) -> bytes:
     return bytes([used]) + b"".join(np.ascontiguousarray(planes[k]).tobytes() for k in range(used))
 
 
-def _undeltas(raw: bytes) -> np.ndarray:
-    used = raw[0]
+def _undeltas(raw) -> np.ndarray:
+    used = memoryview(raw)[0]
     flat = np.frombuffer(raw, np.uint8, offset=1)
     n = len(flat) // used
     planes = np.zeros((n, 8), np.uint8)
@@ -74,9 +82,10 @@ def _counts_packed(c: np.ndarray) -> bytes:
     return len(c).to_bytes(8, "little") + len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
 
 
-def _counts_unpacked(raw: bytes) -> np.ndarray:
+def _counts_unpacked(raw) -> np.ndarray:
+    raw = memoryview(raw)
     n, size = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
-    body = pa.decompress(raw[16:], decompressed_size=size, codec="zstd", asbytes=True)
+    body = pa.decompress(pa.py_buffer(raw[16:]), decompressed_size=size, codec="zstd", asbytes=True)
     out = np.frombuffer(body, np.uint8, n).astype(np.int64)
     out[out == 255] = np.frombuffer(body, "<i8", offset=n)
     return out
@@ -102,12 +111,9 @@ def _units(docs: DataFrame, unit_bytes: int) -> DataFrame:
         def row() -> pa.RecordBatch:
             nonlocal ids, texts, sizes, held, made
             one = pa.record_batch([pa.concat_arrays(ids), pa.array(np.concatenate(sizes))], names=["doc_id", "size"])
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, one.schema) as w:
-                w.write_batch(one)
             body = b"".join(texts)
             out = pa.RecordBatch.from_arrays(
-                [pa.array([(part << 24) + made], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([len(body)], pa.int64()), pa.array([pa.compress(body, codec="zstd", asbytes=True)], pa.binary())],
+                [pa.array([(part << 24) + made], pa.int64()), pa.array([_ipc(one)], pa.binary()), pa.array([len(body)], pa.int64()), pa.array([pa.compress(body, codec="zstd", asbytes=True)], pa.binary())],
                 names=["unit", "rows", "size", "body"],
             )
             ids, texts, sizes, held, made = [], [], [], 0, made + 1
@@ -129,10 +135,9 @@ def _units(docs: DataFrame, unit_bytes: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(pack, "unit long, rows binary, size long, body binary")
 
 
-def _tokens_of(rows: bytes, size: int, body: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _tokens_of(rows, size: int, body) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(doc_id, token hashes with an end token a document, row of each token)."""
-    with pa.ipc.open_stream(rows) as r:
-        table = r.read_all().combine_chunks()
+    table = _from_ipc(rows)
     doc_id = table["doc_id"].combine_chunks()
     data = np.frombuffer(pa.decompress(body, decompressed_size=size, codec="zstd", asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
     off = np.concatenate([[0], np.cumsum(table["size"].to_numpy())])
@@ -163,84 +168,89 @@ def _grams(h: np.ndarray, row: np.ndarray, order: int) -> list[np.ndarray]:
     return out
 
 
-def _contexts(h: np.ndarray, row: np.ndarray, order: int) -> list[np.ndarray]:
-    """For orders 2.. the hash of the context, marked apart from n-grams."""
-    out = []
-    for n in range(2, order + 1):
-        acc = np.full(len(h), np.uint64(0xC0DE0000 + n), np.uint64)
-        for k in range(1, n):
-            prev = np.full(len(h), BEGIN, np.uint64)
-            prev[k:] = np.where(row[k:] == row[:-k], h[:-k], BEGIN)
-            acc = textnum.mix(acc * np.uint64(0x9E3779B185EBCA87) + prev + np.uint64(k))
-        out.append(acc)
-    return out
-
-
-def _keys(h: np.ndarray, row: np.ndarray, order: int) -> list[np.ndarray]:
-    """Key arrays in a fixed order: n-grams of order 1.., contexts of order 2.. ."""
-    return [*_grams(h, row, order), *_contexts(h, row, order)]
-
-
-def _requests(units: DataFrame, order: int, folds: int, held: int, deal: int) -> DataFrame:
-    """Each unit's distinct keys with its training counts, by counting task."""
+def _requests(units: DataFrame, order: int, folds: int, held: int, deals: list[int]) -> DataFrame:
+    """Each unit's distinct n-grams with its training counts, by order and counting task."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for unit, rows, size, body in zip(*(batch.column(c).to_pylist() for c in ("unit", "rows", "size", "body")), strict=True):
                 doc_id, h, row = _tokens_of(rows, size, body)
                 trains = training(doc_id, folds, held)[row] if len(row) else np.zeros(0, bool)
-                for kind, key in enumerate(_keys(h, row, order)):
+                for kind, key in enumerate(_grams(h, row, order)):
                     uniq, inverse = np.unique(key, return_inverse=True)
                     seen = np.bincount(inverse, trains, len(uniq)).astype(np.int64)
-                    cuts = np.searchsorted(uniq, (np.arange(1, deal, dtype=object) * ((1 << 64) // deal)).astype(np.uint64)) if deal > 1 else np.zeros(0, np.int64)
-                    edges = [0, *cuts.tolist(), len(uniq)]
-                    parts = [(x, y) for x, y in zip(edges[:-1], edges[1:], strict=True)]
+                    del inverse
+                    width = np.uint64(((1 << 64) - 1) // deals[kind] + 1) if deals[kind] > 1 else None
+                    task = (uniq // width).astype(np.int64) if width is not None else np.zeros(len(uniq), np.int64)
+                    # only tasks that are asked for anything
+                    some, first = np.unique(task, return_index=True)
+                    parts = list(zip(first.tolist(), [*first[1:].tolist(), len(uniq)], strict=True))
+                    n = len(parts)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([unit] * deal, pa.int64()), pa.array([kind] * deal, pa.int32()), pa.array(range(deal), pa.int32()), pa.array([_deltas(uniq[x:y]) for x, y in parts], pa.binary()), pa.array([_counts_packed(seen[x:y]) for x, y in parts], pa.binary())],
+                        [pa.array([unit] * n, pa.int64()), pa.array([kind] * n, pa.int32()), pa.array(some, pa.int64()), pa.array([_deltas(uniq[x:y]) for x, y in parts], pa.binary()), pa.array([_counts_packed(seen[x:y]) for x, y in parts], pa.binary())],
                         names=["unit", "kind", "task", "keys", "counts"],
                     )
 
-    return units.mapInArrow(ask, "unit long, kind int, task int, keys binary, counts binary")
+    return units.mapInArrow(ask, "unit long, kind int, task long, keys binary, counts binary")
 
 
 def _answers(requests: DataFrame) -> DataFrame:
-    """Add up the counts of each key over all units; answer each unit in its order."""
+    """Add up the counts of each n-gram over all units; answer each unit in its order."""
 
     def answer(table: pa.Table) -> pa.Table:
         kind, task = table["kind"][0].as_py(), table["task"][0].as_py()
-        keys = [_undeltas(x) for x in table["keys"].to_pylist()]
-        counts = [_counts_unpacked(x) for x in table["counts"].to_pylist()]
+        keys = [_undeltas(x.as_buffer()) for x in table["keys"]]
+        sizes = [len(k) for k in keys]
         uniq, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(inverse, np.concatenate(counts), len(uniq)).astype(np.int64)
-        ends = np.cumsum([len(k) for k in keys])
-        told = [_counts_packed(total[inverse[e - len(k) : e]]) for k, e in zip(keys, ends, strict=True)]
+        del keys
+        counts = np.concatenate([_counts_unpacked(x.as_buffer()) for x in table["counts"]])
+        total = np.bincount(inverse, counts, len(uniq)).astype(np.int64)
+        ends = np.cumsum(sizes)
+        told = [_counts_packed(total[inverse[e - n : e]]) for n, e in zip(sizes, ends.tolist(), strict=True)]
         distinct = int(np.count_nonzero(total)) if kind == 0 else 0
         words = int(total.sum()) if kind == 0 else 0
-        n = len(keys)
+        n = len(sizes)
         return pa.table(
-            [table["unit"], pa.array([kind] * n, pa.int32()), pa.array([task] * n, pa.int32()), pa.array(told, pa.binary()), pa.array([distinct] + [0] * (n - 1), pa.int64()), pa.array([words] + [0] * (n - 1), pa.int64())],
+            [table["unit"], pa.array([kind] * n, pa.int32()), pa.array([task] * n, pa.int64()), pa.array(told, pa.binary()), pa.array([distinct] + [0] * (n - 1), pa.int64()), pa.array([words] + [0] * (n - 1), pa.int64())],
             names=["unit", "kind", "task", "totals", "vocabulary", "words"],
         )
 
-    return requests.groupBy("kind", "task").applyInArrow(answer, "unit long, kind int, task int, totals binary, vocabulary long, words long")
+    return requests.groupBy("kind", "task").applyInArrow(answer, "unit long, kind int, task long, totals binary, vocabulary long, words long")
 
 
-class _Unit:
-    """A unit's tokens with the training counts of their n-grams and contexts."""
+def _indexed(c: np.ndarray) -> bytes:
+    """Numbers as ranks among the distinct ones, the most frequent first, in byte planes."""
+    uniq, inverse, n = np.unique(c, return_inverse=True, return_counts=True)
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(uniq), np.uint32)
+    rank[order] = np.arange(len(uniq), dtype=np.uint32)
+    planes = rank[inverse].astype("<u4").view(np.uint8).reshape(-1, 4).T
+    used = max(1, (max(len(uniq) - 1, 0).bit_length() + 7) // 8)
+    body = uniq[order].astype("<i8").tobytes() + b"".join(np.ascontiguousarray(planes[k]).tobytes() for k in range(used))
+    head = b"".join(x.to_bytes(8, "little") for x in (len(c), len(uniq), used, len(body)))
+    return head + pa.compress(body, codec="zstd", asbytes=True)
+
+
+def _from_index(raw) -> np.ndarray:
+    raw = memoryview(raw)
+    n, distinct, used, size = (int.from_bytes(raw[8 * k : 8 * k + 8], "little") for k in range(4))
+    body = pa.decompress(pa.py_buffer(raw[32:]), decompressed_size=size, codec="zstd", asbytes=True)
+    planes = np.zeros((n, 4), np.uint8)
+    for k in range(used):
+        planes[:, k] = np.frombuffer(body, np.uint8, n, 8 * distinct + k * n)
+    return np.frombuffer(body, "<i8", distinct)[planes.reshape(-1).view("<u4")]
+
+
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as w:
+        w.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-    def __init__(self, table: pa.Table, order: int):
-        own = [i for i, b in enumerate(table["body"].to_pylist()) if b is not None][0]
-        self.doc_id, h, self.row = _tokens_of(table["rows"][own].as_py(), table["size"][own].as_py(), table["body"][own].as_py())
-        told: dict[int, list[tuple[int, bytes]]] = {}
-        for kind, task, totals in zip(table["kind"].to_pylist(), table["task"].to_pylist(), table["totals"].to_pylist(), strict=True):
-            if totals is not None:
-                told.setdefault(kind, []).append((task, totals))
-        self.counts = []
-        for kind, key in enumerate(_keys(h, self.row, order)):
-            inverse = np.unique(key, return_inverse=True)[1]
-            total = np.concatenate([_counts_unpacked(x) for _, x in sorted(told[kind])])
-            self.counts.append(total[inverse])
-        self.grams, self.contexts = self.counts[:order], self.counts[order:]
+
+def _from_ipc(raw) -> pa.Table:
+    with pa.ipc.open_stream(raw) as r:
+        return r.read_all().combine_chunks()
 
 
 def _bucket(context: np.ndarray) -> np.ndarray:
@@ -249,15 +259,25 @@ def _bucket(context: np.ndarray) -> np.ndarray:
     return np.where(c < 4, c, np.minimum(np.log2(np.maximum(c, 1)).astype(np.int64) + 2, BUCKETS - 1))
 
 
-def _estimates(unit: _Unit, order: int, words: int, delete: bool) -> tuple[list[np.ndarray], np.ndarray]:
-    """Maximum-likelihood estimates by order, and the bucket; with delete, without the token itself."""
+def _estimates(grams: list[np.ndarray], row: np.ndarray, words: int, delete: bool) -> tuple[list[np.ndarray], np.ndarray]:
+    """Maximum-likelihood estimates by order, and the bucket; with delete, without the token itself.
+
+    grams[n - 1] has the training count of the n-gram that ends at each token.
+    """
     less = 1 if delete else 0
-    ests = [np.maximum(unit.grams[0] - less, 0) / max(words - less, 1)]
+    ests = [np.maximum(grams[0] - less, 0) / max(words - less, 1)]
     context = None
-    for n in range(2, order + 1):
-        context = np.maximum(unit.contexts[n - 2] - less, 0)
-        ests.append(np.where(context > 0, np.maximum(unit.grams[n - 1] - less, 0) / np.maximum(context, 1), 0.0))
-    bucket = _bucket(context) if context is not None else np.zeros(len(ests[0]), np.int64)
+    inner = np.zeros(len(row), bool)
+    inner[1:] = row[1:] == row[:-1]
+    for n in range(2, len(grams) + 1):
+        # the n-gram before, or the bare beginning, which the end token of each document counts
+        before = np.empty_like(grams[0])
+        before[1:] = grams[n - 2][:-1]
+        last = np.append(~inner[1:], True)
+        before[~inner] = grams[0][last]
+        context = np.maximum(before - less, 0)
+        ests.append(np.where(context > 0, np.maximum(grams[n - 1] - less, 0) / np.maximum(context, 1), 0.0))
+    bucket = _bucket(context) if context is not None else np.zeros(len(row), np.int64)
     return ests, bucket
 
 
@@ -272,11 +292,10 @@ def fit_weights(hist: list[tuple[int, list[int], int]], order: int, vocabulary:
     """Expectation-maximisation on (bucket, bins of the estimates, held-out count).
 
     Returns weights[bucket] over the uniform share and orders 1..order.  A bucket
-    without held-out counts takes those of all.
+    without held-out counts takes those of all; without any, all is uniform.
     """
-    start = np.full((BUCKETS, order + 1), 1.0 / (order + 1))
     if not hist:
-        return start
+        return np.tile(np.eye(order + 1)[0], (BUCKETS, 1))
     bucket = np.array([b for b, _, _ in hist])
     bins = np.array([x for _, x, _ in hist])
     count = np.array([c for _, _, c in hist], float)
@@ -297,33 +316,51 @@ def fit_weights(hist: list[tuple[int, list[int], int]], order: int, vocabulary:
     return np.array([learn(bucket == b) if (bucket == b).any() else overall for b in range(BUCKETS)])
 
 
-def score_documents(docs: DataFrame, order: int = 2, folds: int = 7, held: int = 2, unit_bytes: int = UNIT_BYTES) -> DataFrame:
+def score_documents(docs: DataFrame, order: int = 2, folds: int = 7, held: int = 2, unit_bytes: int = UNIT_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Score every document of (doc_id, text) with a model of those not held out."""
     spark = docs.sparkSession
     work.tune(spark)
     base = work.folder(spark, "lm")
     units = work.stored(_units(docs, unit_bytes), f"{base}/units")
-    deal = work.partitions(spark)
-    answers = work.stored(_answers(_requests(units, order, folds, held, deal)), f"{base}/answers")
+    # counting tasks grow with the texts, whatever the number of partitions
+    bulk = units.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    deals = [max(1, bulk // (task_bytes * (1 if n else 8))) for n in range(order)]
+    answers = work.stored(_answers(_requests(units, order, folds, held, deals)), f"{base}/answers")
     vocabulary, words = answers.agg(F.coalesce(F.sum("vocabulary"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
 
     nothing = F.lit(None)
-    told = units.select("unit", "rows", "size", "body", nothing.cast("int").alias("kind"), nothing.cast("int").alias("task"), nothing.cast("binary").alias("totals")).unionByName(
+    told = units.select("unit", "rows", "size", "body", nothing.cast("int").alias("kind"), nothing.cast("long").alias("task"), nothing.cast("binary").alias("totals")).unionByName(
         answers.select("unit", nothing.cast("binary").alias("rows"), nothing.cast("long").alias("size"), nothing.cast("binary").alias("body"), "kind", "task", "totals")
     )
 
-    def count_held(table: pa.Table) -> pa.Table:
-        unit = _Unit(table, order)
-        trains = training(unit.doc_id, folds, held)[unit.row]
-        ests, bucket = _estimates(unit, order, words, True)
+    def meet(table: pa.Table) -> pa.Table:
+        own = table.filter(table["body"].is_valid())
+        doc_id, h, row = _tokens_of(*(own[c][0].as_buffer() if c != "size" else own[c][0].as_py() for c in ("rows", "size", "body")))
+        answer = table.filter(table["totals"].is_valid()).sort_by([("kind", "ascending"), ("task", "ascending")])
+        kinds = answer["kind"].to_numpy()
+        grams = []
+        for kind, key in enumerate(_grams(h, row, order)):
+            inverse = np.unique(key, return_inverse=True)[1]
+            at = np.flatnonzero(kinds == kind).tolist()
+            grams.append(np.concatenate([_counts_unpacked(answer["totals"][i].as_buffer()) for i in at])[inverse] if at else np.zeros(0, np.int64))
+        ests, bucket = _estimates(grams, row, words, True)
         key = bucket
         for e in ests:
             key = key * BINS + _bins(e)
-        uniq, n = np.unique(key[trains], return_counts=True)
-        return pa.table({"key": pa.array(uniq, pa.int64()), "n": pa.array(n, pa.int64())})
+        uniq, n = np.unique(key[training(doc_id, folds, held)[row]] if len(row) else key, return_counts=True)
+        told_rows = pa.record_batch([doc_id, pa.array(np.bincount(row, minlength=len(doc_id)).astype(np.int64))], names=["doc_id", "n_tokens"])
+        seen = pa.record_batch([pa.array(uniq.astype(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+        return pa.table({"rows": pa.array([_ipc(told_rows)], pa.binary()), "grams": pa.array([[_indexed(g) for g in grams]], pa.list_(pa.binary())), "seen": pa.array([_ipc(seen)], pa.binary())})
+
+    met = work.stored(told.groupBy("unit").applyInArrow(meet, "rows binary, grams array<binary>, seen binary"), f"{base}/met")
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column("seen"):
+                yield from _from_ipc(raw.as_buffer()).to_batches()
 
     # at most BUCKETS * BINS ** order rows, whatever the corpus
-    seen = told.groupBy("unit").applyInArrow(count_held, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy("key").collect()
+    seen = met.select("seen").mapInArrow(unpack, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).orderBy("key").collect()
     hist = []
     for key, n in seen:
         bins = []
@@ -333,27 +370,29 @@ def score_documents(docs: DataFrame, order: int = 2, folds: int = 7, held: int =
         hist.append((key, bins[::-1], n))
     weights = fit_weights(hist, order, vocabulary)
 
-    def score(table: pa.Table) -> pa.Table:
-        unit = _Unit(table, order)
-        rows = len(unit.doc_id)
-        ests, bucket = _estimates(unit, order, words, False)
-        w = weights[bucket]
-        p = w[:, 0] / (vocabulary + 1)
-        for k, e in enumerate(ests):
-            p = p + w[:, k + 1] * e
-        c = unit.grams[0]
-        plain = np.log10((c + 1) / (words + vocabulary + 1))
-        trains = training(unit.doc_id, folds, held)
-        return pa.table(
-            {
-                "doc_id": unit.doc_id,
-                "held_out": pa.array(~trains),
-                "n_tokens": pa.array(np.bincount(unit.row, minlength=rows).astype(np.int64)),
-                "n_known": pa.array(np.bincount(unit.row, c > 0, rows).astype(np.int64)),
-                "train_tokens": pa.array(np.full(rows, words, np.int64)),
-                "base_score": pa.array(np.bincount(unit.row, plain, rows)),
-                "score": pa.array(np.bincount(unit.row, np.log10(p), rows)),
-            }
-        )
-
-    return told.groupBy("unit").applyInArrow(score, SCORES)
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for told_rows, packed in zip(batch.column("rows"), batch.column("grams"), strict=True):
+                table = _from_ipc(told_rows.as_buffer())
+                doc_id, size = table["doc_id"].combine_chunks(), table["n_tokens"].to_numpy()
+                rows = len(size)
+                row = np.repeat(np.arange(rows), size)
+                grams = [_from_index(g.as_buffer()) for g in packed.values]
+                ests, bucket = _estimates(grams, row, words, False)
+                w = weights[bucket]
+                p = w[:, 0] / (vocabulary + 1)
+                for k, e in enumerate(ests):
+                    p = p + w[:, k + 1] * e
+                plain = np.log10((grams[0] + 1) / (words + vocabulary + 1))
+                out = {
+                    "doc_id": doc_id,
+                    "held_out": pa.array(~training(doc_id, folds, held)),
+                    "n_tokens": pa.array(size),
+                    "n_known": pa.array(np.bincount(row, grams[0] > 0, rows).astype(np.int64)),
+                    "train_tokens": pa.array(np.full(rows, words, np.int64)),
+                    "base_score": pa.array(np.bincount(row, plain, rows)),
+                    "score": pa.array(np.bincount(row, np.log10(p), rows)),
+                }
+                yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
+
+    return met.select("rows", "grams").mapInArrow(score, SCORES)

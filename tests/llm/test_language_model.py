@@ -98,11 +98,36 @@ def test_packing_of_keys_and_counts(n):
     assert (lm._undeltas(lm._deltas(keys)) == keys).all() and (lm._counts_unpacked(lm._counts_packed(counts)) == counts).all()
 
 
+@pytest.mark.parametrize("c", [[], [5], [0, 300, 7, 7, 1 << 40], list(range(70_000))])
+def test_packing_of_token_counts(c):
+    c = np.array(c, np.int64)
+    assert (lm._from_index(lm._indexed(c)) == c).all()
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_contexts_are_the_shorter_ngrams(order):
+    """Counts of contexts, taken from the n-gram before, against counting them."""
+    rng = np.random.default_rng(order)
+    docs = [[*rng.integers(1, 5, rng.integers(0, 12)).tolist(), 0] for _ in range(40)]
+    pad = lambda d: [None] * order + d
+    seen = [Counter(tuple(pad(d)[i + order - n + 1 : i + order + 1]) for d in docs for i in range(len(d))) for n in range(1, order + 1)]
+    ctx = [Counter(tuple(pad(d)[i + order - n + 1 : i + order]) for d in docs for i in range(len(d))) for n in range(1, order + 1)]
+    row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    key = lambda n, d, i: tuple(pad(d)[i + order - n + 1 : i + order + 1])
+    grams = [np.array([seen[n - 1][key(n, d, i)] for d in docs for i in range(len(d))]) for n in range(1, order + 1)]
+    ests, _ = lm._estimates(grams, row, len(row), False)
+    for n in range(2, order + 1):
+        want = [seen[n - 1][key(n, d, i)] / ctx[n - 1][key(n, d, i)[:-1]] for d in docs for i in range(len(d))]
+        assert np.allclose(ests[n - 1], want)
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lm.score_documents(empty).count() == 0
     held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2][:3]
     rows = lm.score_documents(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
-    assert [(r.train_tokens, r.n_known, r.base_score, r.score) for r in rows] == [(0, 0, 0.0, pytest.approx(3 * math.log10(1 / 3), abs=2))] * 3
+    assert [(r.train_tokens, r.n_known, r.base_score, r.score) for r in rows] == [(0, 0, 0.0, 0.0)] * 3
+    long = lm.score_documents(spark.createDataFrame([(3, "once upon a time " * 50_000), (2, "once")], "doc_id long, text string"), unit_bytes=1 << 16, task_bytes=1 << 12).collect()
+    assert {r.doc_id: (r.n_tokens, r.n_known, r.train_tokens) for r in long} == {3: (200_001, 200_001, 200_003), 2: (2, 2, 200_003)}
     null = lm.score_documents(spark.createDataFrame([(None, "a"), (1, "a")], "doc_id long, text string")).collect()
     assert sorted(r.n_tokens for r in null) == [2, 2]
