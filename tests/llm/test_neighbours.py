@@ -47,9 +47,46 @@ def test_edges(spark):
     assert neighbours.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_ties_across_blocks(spark):
+    """Equal vectors in several blocks rank by id; a query id with two vectors is asked with each."""
+    rows = [(i, [1.0, float(i % 3), 0.5]) for i in range(1, 200)] + [(50, [0.0, 0.0, 1.0]), (400, [3e200, 0.0, 0.0]), (401, [4e200, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.search(df, df.filter("vec_id % 50 = 0"), block_rows=16, block_queries=2).collect()
+    x, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    want = []
+    for q, v in rows:
+        if q % 50 == 0:
+            score = neighbours.cosine(x, np.array(v))
+            order = [i for i in np.lexsort((ids, -score)) if ids[i] != q][:5]
+            want += [(q, rank + 1, int(ids[i]), score[i]) for rank, i in enumerate(order)]
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
+    assert sum(r.query_id == 50 for r in got) == 10
+
+
 def test_longest_prefixes_come_first():
-    index = np.array([[0b1010], [0b1011], [0b1100], [0b0000]], np.uint64)
-    query = np.array([[0b1010]], np.uint64)
+    forest = neighbours.Forest(np.eye(4), 1, 4, 4, 0)
+    strings = np.array([0b0000, 0b1010, 0b1011, 0b1100], np.uint32)
+    forest.strings, forest.order = strings[None], np.array([[3, 0, 1, 2]])
+    query = np.array([[0b1010]], np.uint32)
     for want, expected in ((1, [0]), (2, [0, 1]), (3, [0, 1, 2]), (4, [0, 1, 2, 3])):
-        (_, mask), = neighbours.candidates(index, query, 4, want)
-        assert np.flatnonzero(mask[0]).tolist() == expected
+        assert np.flatnonzero(forest.ascend(query, want)[0]).tolist() == expected
+    for depth, expected in ((4, [0]), (3, [0, 1]), (2, [0, 1]), (1, [0, 1, 2]), (0, [0, 1, 2, 3])):
+        assert np.flatnonzero(forest.at_depth(query, np.array([depth]))[0]).tolist() == expected
+
+
+def test_few_pairs_are_scored_where_near_ones_exist():
+    """Clusters of near vectors: both rounds together score under a tenth of all pairs, at a recall of 0.9."""
+    rng = np.random.default_rng(3)
+    n, k = 6000, 5
+    x = rng.normal(size=(300, 64))[rng.integers(0, 300, n)] + 0.25 * rng.normal(size=(n, 64))
+    ids, q = np.arange(n), np.arange(0, n, 50)
+    unit = neighbours._unit(x)
+    forest = neighbours.Forest(unit, 64, 24, 256, 11)
+    args = (forest, unit, ids, x, q, x[q])
+    i, _, score, first = neighbours.best(*args, None, k, 64, 0.05)
+    floor = np.array([score[i == a].min() for a in range(len(q))])
+    i, j, _, second = neighbours.best(*args, floor, k, 64, 0.05)
+    want = brute(x, ids, q)
+    hits = sum(len(set(want[q[a]]) & set(ids[j[i == a]].tolist())) for a in range(len(q)))
+    assert hits >= 0.9 * k * len(q)
+    assert first + second < 0.1 * n * len(q)
