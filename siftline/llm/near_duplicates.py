@@ -9,7 +9,9 @@ similarity of at least 0.8.  Steps:
    threshold: (1 - t**r)**b, 3e-6 with the defaults).  Each class is tied to
    the smallest of its band, never to all others, and connected components of
    these ties bound which classes can link.
-3. Within a component, classes are compared in blocks.  MinHash values are
+3. Classes are compared in blocks: those of a component with each other, or,
+   where that is more work (components that chain many bands together), those
+   of each band, a pair in the first band that it shares.  MinHash values are
    compared a few at a time, and a pair is dropped as soon as the posterior
    probability that it reaches the threshold, given the matches so far and a
    uniform prior, falls below the tolerance.  The pairs left are verified on
@@ -20,9 +22,11 @@ similarity of at least 0.8.  Steps:
 Words are lower-cased (A-Z) runs outside 0x20 and 0x09-0x0D; a text of one to
 four words has one shingle of all its words.
 
-Defined cases: texts without words and rows with a null doc_id link to
-nothing; repeated rows are copies of each other; extra columns are ignored;
-an empty table gives an empty result.
+Defined cases: texts without words link to nothing; rows with a null doc_id
+link like others, and the class of a group is its smallest id that is not null
+(null where it has none); one id on several texts is several documents;
+repeated rows are copies of each other; extra columns are ignored; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm import textnum, work
@@ -43,8 +47,12 @@ WORDS = 5
 THRESHOLD = 0.8
 #: Classes of a component compared in one block, and MinHash values a step.
 BLOCK, STEP = 512, 16
-#: Classes with more than this part of all rows are joined apart; there are at most as many.
+#: Bytes of shingles of a block, about.
+BLOCK_BYTES = 32 << 20
+#: Keys with more than this part of all rows are joined apart, by broadcast; there are fewer than that.
 LARGE = 1000
+#: What a text with words holds.
+WORDED = r"[^\x20\x09-\x0D]"
 
 _rng = np.random.default_rng(20240607)
 _MUL = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -116,6 +124,17 @@ def likely_pairs(a: np.ndarray, b: np.ndarray, same: bool, fewest: list[int]) ->
     return i, j
 
 
+def first_shared(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The first band whose values are equal in a[i] and b[j]; BANDS if none."""
+    out = np.full(len(i), BANDS)
+    for x in range(0, len(i), 65536):
+        p, q = i[x : x + 65536], j[x : x + 65536]
+        for k in range(BANDS - 1, -1, -1):
+            at = slice(k * ROWS, (k + 1) * ROWS)
+            out[x : x + 65536][(a[p, at] == b[q, at]).all(1)] = k
+    return out
+
+
 def shared_counts(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """|A_i & B_j| of each pair, exactly."""
     out = np.zeros(len(i), np.int64)
@@ -161,8 +180,13 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _text_key() -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64("text")
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, node (hash of the shingle set, null without words), sig."""
+    """doc_id, text_key, node (hash of the shingle set, null without words), size (shingles), sig."""
     work.tune(docs.sparkSession)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,50 +199,64 @@ def signatures(docs: DataFrame) -> DataFrame:
                 size = np.diff(at)
                 node = textnum.mix(total[at[1:]] - total[at[:-1]] + size.astype(np.uint64)).view(np.int64)
                 sig = minhashes(sets, at)
-                yield pa.RecordBatch.from_arrays([doc_id.slice(i, j - i), pa.array(node, mask=size == 0), pa.array([s.tobytes() for s in sig], pa.binary())], names=["doc_id", "node", "sig"])
+                columns = [doc_id.slice(i, j - i), batch.column("text_key").slice(i, j - i), pa.array(node, mask=size == 0), pa.array(size), pa.array([x.tobytes() for x in sig], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "node", "size", "sig"])
+
+    return docs.select("doc_id", "text", _text_key().alias("text_key")).mapInArrow(sign, "doc_id long, text_key long, node long, size long, sig binary")
 
-    return docs.select("doc_id", "text").mapInArrow(sign, "doc_id long, node long, sig binary")
 
+def by_node(edges: DataFrame, told: DataFrame, key: str = "u") -> DataFrame:
+    """edges joined with told (one row a key).
 
-def connected(edges: DataFrame, path: str) -> DataFrame:
+    The sides meet by the complement of the key: told comes from an aggregation
+    by the key itself, and only a join with exchanges of its own lets Spark
+    split the rows of a frequent key.
+    """
+    other = told.withColumn("__key", F.bitwise_not(key)).drop(key)
+    return edges.join(other, F.bitwise_not(edges[key]) == F.col("__key")).drop("__key")
+
+
+def connected(edges: DataFrame, path: str, rounds: int = 64) -> DataFrame:
     """(a, b) to (node, comp): comp is the smallest node that can be reached.
 
     Alternates large-star and small-star steps; every round is written out.
+    Raises if the rounds do not suffice (they grow with the logarithm of the nodes).
     """
     pairs = work.stored(edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"{path}/0")
     mark = lambda p: tuple(p.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
     state = mark(pairs)
-    for turn in range(1, 64):
-        if not state[0]:
-            break
+    settled, turn = not state[0], 0
+    while not settled:
+        turn += 1
+        if turn >= rounds:
+            raise RuntimeError(f"components have not settled after {rounds} rounds")
         both = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = by_node(both.filter("v > u"), low).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u != v").distinct()
         # small star: neighbours below and the node itself go to the smallest
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        after = work.stored(small.filter("u != v").distinct(), f"{path}/{turn}")
-        pairs, was = after, state
+        small = by_node(large, least).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        pairs, was = work.stored(small.filter("u != v").distinct(), f"{path}/{turn}"), state
         state = mark(pairs)
-        if state == was:
-            break
+        settled = state == was
     nodes = pairs.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     heads = pairs.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct()
     return nodes.unionByName(heads)
 
 
 def compare_blocks(rows: DataFrame, threshold: float, tolerance: float) -> DataFrame:
-    """rows (task, comp, side_a, side_b, slot, node, copies, sig, shingles) to (node, other, links).
+    """rows (task, comp, band, side_a, side_b, slot, node, copies, sig, shingles) to (node, other, links).
 
-    Rows with other are pairs of a spanning forest; those without give links,
-    the number of documents of other classes that node links to in the block.
+    comp is what meets: a component (band -1), or a band's value.  Rows with
+    other are pairs of a spanning forest; those without give links, the number
+    of documents of other classes that node links to in the block.
     """
     fewest = fewest_matches(threshold, tolerance)
 
     def compare(table: pa.Table) -> pa.Table:
         table = table.sort_by([("comp", "ascending"), ("side_a", "ascending"), ("side_b", "ascending"), ("node", "ascending")])
-        node, copies, slot = (table[c].to_numpy() for c in ("node", "copies", "slot"))
+        node, copies, slot, band = (table[c].to_numpy() for c in ("node", "copies", "slot", "band"))
         key = np.stack([table[c].to_numpy() for c in ("comp", "side_a", "side_b")], 1)
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint32).reshape(len(node), HASHES)
         raw = table["shingles"].combine_chunks()
@@ -230,6 +268,9 @@ def compare_blocks(rows: DataFrame, threshold: float, tolerance: float) -> DataF
             a_side, b_side = key[s, 1], key[s, 2]
             a, b = own[slot[own] == a_side], own[slot[own] == b_side]
             i, j = likely_pairs(sig[a], sig[b], a_side == b_side, fewest)
+            if band[s] >= 0 and len(i):
+                first = first_shared(sig[a], sig[b], i, j) == band[s]
+                i, j = i[first], j[first]
             if not len(i):
                 continue
             used_a, i = np.unique(i, return_inverse=True)
@@ -259,34 +300,63 @@ def compare_blocks(rows: DataFrame, threshold: float, tolerance: float) -> DataF
     return rows.groupBy("task").applyInArrow(compare, "node long, other long, links long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = 1e-6) -> DataFrame:
-    """One row a document: doc_id, class_id (smallest doc_id of its group), n_links."""
-    spark = docs.sparkSession
-    work.tune(spark)
-    base = work.folder(spark, "near")
-    signed = work.stored(signatures(docs.filter(F.col("doc_id").isNotNull())), f"{base}/signed")
-    # equal sets have equal values, so any will do
-    classes = work.stored(signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")), f"{base}/classes")
+def _blocks(classes: DataFrame, base: str) -> DataFrame:
+    """(node, comp, band, parts, slot): where each class is compared; a class may have several places."""
 
     def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint32).reshape(-1, HASHES)
-                yield pa.RecordBatch.from_arrays([pa.array(band_keys(sig).reshape(-1)), pa.array(np.repeat(batch.column("node").to_numpy(), BANDS))], names=["key", "node"])
-
-    keyed = work.stored(classes.select("node", "sig").mapInArrow(bands, "key long, node long"), f"{base}/bands")
-    leaders = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead != last").select("key", "lead")
-    ties = keyed.join(leaders, "key").filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    comps = work.stored(connected(ties, f"{base}/ties"), f"{base}/comps")
-
-    sizes = comps.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
-    parts = F.ceil(F.col("size") / BLOCK)
-    placed = comps.join(sizes, "comp").withColumn("parts", parts).withColumn("slot", F.pmod(F.xxhash64("node"), F.col("parts")))
-    few = max(1, placed.count() // BLOCK)
-    one = F.col("parts") == 1
-    placed = placed.join(classes, "node")
-    wanted = placed.select("node", "comp", "slot", "parts", "copies", "sig", F.col("first_doc").alias("w_doc"))
-    texts = docs.select(F.col("doc_id"), "text").join(wanted, F.col("doc_id") == F.col("w_doc"))
+                node, size = (np.repeat(batch.column(c).to_numpy(), BANDS) for c in ("node", "size"))
+                yield pa.RecordBatch.from_arrays([pa.array(band_keys(sig).reshape(-1)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(sig))), pa.array(node), pa.array(size)], names=["key", "band", "node", "size"])
+
+    keyed = work.stored(classes.select("node", "size", "sig").mapInArrow(bands, "key long, band int, node long, size long"), f"{base}/bands")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("size").alias("bulk")]
+    buckets = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last"), *sums).filter("lead != last").drop("last")
+    buckets = work.stored(buckets, f"{base}/buckets")
+    ties = by_node(keyed.select("key", "node"), buckets.select("key", "lead"), "key").filter("node != lead")
+    comps = work.stored(connected(ties.select(F.col("lead").alias("a"), F.col("node").alias("b")), f"{base}/ties"), f"{base}/comps")
+
+    inside = comps.join(classes.select("node", "size"), "node")
+    sizes = work.stored(inside.groupBy("comp").agg(*sums), f"{base}/sizes")
+    whole = by_node(comps, sizes, "comp")
+    if sizes.filter(F.col("n") > BLOCK).limit(1).count():
+        # pairs that a component would compare, against those that its bands would
+        pairs = lambda: F.col("n").cast("double") * F.col("n")
+        in_bands = buckets.join(comps.withColumnRenamed("node", "lead"), "lead").groupBy("comp").agg(F.sum(pairs()).alias("in_bands"))
+        sizes = work.stored(sizes.join(in_bands, "comp").withColumn("chained", (F.col("n") > BLOCK) & (F.col("in_bands") < pairs())).drop("in_bands"), f"{base}/kinds")
+        whole = by_node(comps, sizes, "comp").drop("lead")
+        loose = whole.filter("chained").select("node")
+        apart = by_node(keyed.join(loose, "node").select("key", "band", "node"), buckets.select("key", "n", "bulk"), "key")
+        whole = whole.filter("not chained").drop("chained").withColumn("band", F.lit(-1)).unionByName(apart.withColumnRenamed("key", "comp"))
+    else:
+        whole = whole.withColumn("band", F.lit(-1))
+    # blocks of at most about BLOCK classes and BLOCK_BYTES of shingles
+    parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bulk") * 8 / BLOCK_BYTES)).cast("long")
+    placed = whole.withColumn("parts", F.greatest(parts, F.lit(1)).cast("long")).withColumn("slot", F.pmod(F.xxhash64("node", "comp"), F.col("parts")))
+    return work.stored(placed.select("node", "comp", "band", "parts", "slot"), f"{base}/placed")
+
+
+def _resolve(docs: DataFrame, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame, int]:
+    """(doc_id, text_key, node of each row), (node, copies, n_links, head_doc, head_key of each class), rows."""
+    spark = docs.sparkSession
+    work.tune(spark)
+    base = work.folder(spark, "near")
+    signed = work.stored(signatures(docs), f"{base}/signed")
+    total = signed.count()
+    # equal sets have equal values, so any will do; the first document is that with the smallest id, null last
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")).alias("first")
+    classes = signed.filter("node is not null").groupBy("node").agg(first, F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sig").alias("sig"))
+    classes = work.stored(classes, f"{base}/classes")
+
+    placed = _blocks(classes, base)
+    met = placed.groupBy("node").agg(F.collect_list(F.struct("comp", "band", "parts", "slot")).alias("places"))
+    wanted = met.join(classes, "node").select("node", "places", "copies", "sig", F.col("first.doc_id").alias("w_doc"), F.col("first.text_key").alias("w_key"))
+    texts = docs.select("doc_id", "text", _text_key().alias("text_key"))
+    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_doc")) & (F.col("text_key") == F.col("w_key")))
+    texts = texts.select("text", "node", "places", "copies", "sig")
+    if signed.groupBy("doc_id", "text_key").count().filter("count > 1").limit(1).count():
+        texts = texts.dropDuplicates(["node"])
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,39 +364,59 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
             for i, j in textnum.slices(off):
                 sets, at = shingle_sets(data[off[i] : off[j]], off[i : j + 1] - off[i])
                 part = batch.slice(i, j - i)
-                columns = [part.column(c) for c in ("node", "comp", "slot", "parts", "copies", "sig")]
                 raw = [sets[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(raw, pa.binary())], names=["node", "comp", "slot", "parts", "copies", "sig", "shingles"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(raw, pa.binary())], names=[*kept, "shingles"])
 
-    rows = texts.select("text", "node", "comp", "slot", "parts", "copies", "sig").mapInArrow(shingled, "node long, comp long, slot long, parts long, copies long, sig binary, shingles binary")
-    # a large component is compared in pairs of slots, each class going to every pair of its slot
+    kept = ["node", "places", "copies", "sig"]
+    place = "array<struct<comp:bigint,band:int,parts:bigint,slot:bigint>>"
+    rows = texts.mapInArrow(shingled, f"node long, places {place}, copies long, sig binary, shingles binary")
+    rows = rows.withColumn("place", F.explode("places")).select("node", "copies", "sig", "shingles", "place.*")
+    # what is too large for one block is compared in pairs of slots, each class going to every pair of its slot
     rows = rows.withColumn("meets", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     rows = rows.withColumn("side_a", F.least("slot", "meets")).withColumn("side_b", F.greatest("slot", "meets"))
-    rows = rows.withColumn("task", F.when(one, F.concat(F.lit("c"), F.pmod(F.xxhash64("comp"), F.lit(few)))).otherwise(F.concat_ws(":", "comp", "side_a", "side_b"))).drop("meets", "parts")
+    # small components share tasks, about a block's worth each
+    bulk = classes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0] * 8
+    few = max(1, placed.filter("parts = 1").count() // BLOCK, bulk // BLOCK_BYTES)
+    rows = rows.withColumn("task", F.when(F.col("parts") == 1, F.concat(F.lit("c"), F.pmod(F.xxhash64("comp"), F.lit(few)))).otherwise(F.concat_ws(":", "comp", "side_a", "side_b"))).drop("meets", "parts")
     found = work.stored(compare_blocks(rows, threshold, tolerance), f"{base}/found")
+
     groups = work.stored(connected(found.filter("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")), f"{base}/links"), f"{base}/groups")
     counted = found.filter("other is null").groupBy("node").agg(F.sum("links").alias("links"))
-    heads = groups.join(classes.select("node", "first_doc"), "node").groupBy("comp").agg(F.min("first_doc").alias("head"))
-    linked = groups.join(heads, "comp").select("node", "head").join(counted, "node", "left")
-    known = classes.select("node", "first_doc", "copies").join(linked, "node", "left").select(
-        "node", F.coalesce("head", "first_doc").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.col("copies").alias("n_copies")
-    )
-    # at most LARGE classes hold more than 1/LARGE of the rows each: those are broadcast, so that no task gets a large class whole
-    least = signed.count() // LARGE
-    rows = signed.select("doc_id", "node")
-    large = F.broadcast(known.filter(F.col("n_copies") > least).drop("n_copies").limit(LARGE))
-    rest = rows.join(large.select("node"), "node", "left_anti").join(known.filter(F.col("n_copies") <= least).drop("n_copies"), "node", "left")
-    out = rows.join(large, "node").unionByName(rest)
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-
-
-def keep_first(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each duplicate group: that with the smallest doc_id.  Null ids stay."""
-    found = near_duplicates(docs, **settings)
-    kept = found.filter(F.col("doc_id") == F.col("class_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows_of_id"))
-    kept = work.stored(kept, work.folder(docs.sparkSession, "kept"))
-    out = docs.join(kept.select(F.col("doc_id").alias("k_doc")), F.col("doc_id") == F.col("k_doc"), "left_semi")
-    if kept.filter("rows_of_id > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
-    nameless = docs.filter(F.col("doc_id").isNull())
-    return out.unionByName(nameless)
+    heads = groups.join(classes.select("node", "first"), "node").groupBy("comp").agg(F.min("first").alias("head"))
+    linked = by_node(groups, heads, "comp").select("node", "head")
+    known = classes.select("node", "first", "copies").join(linked, "node", "left").join(counted, "node", "left")
+    head = F.coalesce("head", "first")
+    known = known.select("node", "copies", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"), head["doc_id"].alias("head_doc"), head["text_key"].alias("head_key"))
+    return signed.select("doc_id", "text_key", "node"), work.stored(known, f"{base}/known"), total
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = 1e-6) -> DataFrame:
+    """One row a document: doc_id, class_id (smallest doc_id of its group), n_links."""
+    rows, known, total = _resolve(docs, threshold, tolerance)
+    told = known.select("node", F.col("head_doc").alias("class_id"), "n_links", "copies")
+    # at most LARGE classes hold more than 1/LARGE of the rows each: their rows meet them by broadcast, so that no task gets them all
+    least = total // LARGE
+    large = F.broadcast(told.filter(F.col("copies") > least).limit(LARGE))
+    worded = rows.filter("node is not null")
+    out = worded.join(large, "node").unionByName(worded.join(large.select("node"), "node", "left_anti").join(told.filter(F.col("copies") <= least), "node"))
+    alone = rows.filter("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return out.select("doc_id", "class_id", "n_links").unionByName(alone)
+
+
+def keep_first(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = 1e-6) -> DataFrame:
+    """One document of each group: that with the smallest doc_id, null last; those without words stay."""
+    rows, known, _ = _resolve(docs, threshold, tolerance)
+    base = work.folder(docs.sparkSession, "kept")
+    heads = known.select("head_doc", "head_key").distinct()
+    k = "__near_"  # own columns carry a prefix, so that none of docs clashes
+    times = rows.groupBy(F.col("doc_id").alias(f"{k}i"), F.col("text_key").alias(f"{k}t")).agg(F.count(F.lit(1)).alias(f"{k}n")).filter(f"{k}n > 1")
+    heads = heads.join(times, F.col("head_doc").eqNullSafe(F.col(f"{k}i")) & (F.col("head_key") == F.col(f"{k}t")), "left")
+    heads = work.stored(heads.select(F.col("head_doc").alias(f"{k}doc"), F.col("head_key").alias(f"{k}key"), F.coalesce(f"{k}n", F.lit(1)).alias(f"{k}rows")), base)
+    worded = F.coalesce(F.col("text").rlike(WORDED), F.lit(False))
+    own = docs.filter(worded).withColumn(f"{k}own", _text_key())
+    kept = own.join(heads, F.col("doc_id").eqNullSafe(F.col(f"{k}doc")) & (F.col(f"{k}own") == F.col(f"{k}key")))
+    out = docs.filter(~worded).unionByName(kept.filter(f"{k}rows = 1").select(*docs.columns))
+    if heads.filter(f"{k}rows > 1").limit(1).count():
+        # the rows of one document: one of them stays
+        out = out.unionByName(kept.filter(f"{k}rows > 1").dropDuplicates(["doc_id", f"{k}own"]).select(*docs.columns))
+    return out

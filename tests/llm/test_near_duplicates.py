@@ -28,7 +28,7 @@ def brute(rows, threshold=0.8):
     for a in range(n):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if sets[a][0] is not None and sets[b][0] is not None and x and y and len(x & y) >= threshold * len(x | y) - 1e-9:
+            if x and y and len(x & y) >= threshold * len(x | y) - 1e-9:
                 links[a] += 1
                 links[b] += 1
                 root[find(a)] = find(b)
@@ -36,7 +36,16 @@ def brute(rows, threshold=0.8):
     for a in range(n):
         if rows[a][0] is not None:
             head[find(a)] = min(head.get(find(a), rows[a][0]), rows[a][0])
-    return sorted((rows[a][0], head[find(a)], links[a]) for a in range(n) if rows[a][0] is not None)
+    return ordered((rows[a][0], head.get(find(a)), links[a]) for a in range(n))
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x or 0) for x in r))
+
+
+def linked(spark, rows):
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, node int")
+    return ordered((r.doc_id, r.class_id, r.n_links) for r in nd.near_duplicates(df).collect())
 
 
 def corpus(seed=3):
@@ -62,18 +71,54 @@ def corpus(seed=3):
 def test_against_all_pairs(spark, monkeypatch):
     rows = corpus()
     monkeypatch.setattr(nd, "BLOCK", 16)  # the group of sixty takes several blocks
-    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, node int")
-    got = sorted((r.doc_id, r.class_id, r.n_links) for r in nd.near_duplicates(df).collect())
-    assert got == brute(rows)
+    assert linked(spark, rows) == brute(rows)
+
+
+def test_compared_by_bands(spark, monkeypatch):
+    """Components that chain many bands are compared band by band, with the same links."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    base = [word() for _ in range(60)]
+    rows = []
+    for k in range(90):  # a chain: neighbours are alike, ends are not
+        base[(7 * k) % 60] = word()
+        rows.append((k, " ".join(base)))
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    told = []
+    blocks = nd._blocks
+    monkeypatch.setattr(nd, "_blocks", lambda *a: told.append(blocks(*a)) or told[-1])
+    assert linked(spark, rows) == brute(rows)
+    assert told[0].filter("band >= 0").count() and told[0].filter("parts > 1").count()
+
+
+def test_repeated_and_null_ids(spark):
+    rng = random.Random(5)
+    a, b = ([rng.choice("abcdefgh") + rng.choice("ijklmnop") * 3 + str(k) for k in range(60)] for _ in range(2))
+    near = lambda x: " ".join([*x[:-1], "other"])
+    text = " ".join
+    # one id on two texts; an id on a text and on nothing; repeated rows; null ids alone and in groups
+    rows = [(5, text(a)), (5, text(b)), (6, near(a)), (7, near(b)), (8, None), (8, text(a[::-1])), (9, "x y"), (9, "x y"), (None, near(b)), (None, "lone text"), (None, "lone text"), (None, None)]
+    assert linked(spark, rows) == brute(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((str(r.doc_id), r.text or "") for r in nd.keep_first(df).collect())
+    assert kept == sorted([("5", text(a)), ("5", text(b)), ("8", ""), ("8", text(a[::-1])), ("9", "x y"), ("None", "lone text"), ("None", "")])
+
+
+def test_hot_row(spark):
+    rows = [(1, "the same row again and again")] * 300 + [(k, f"text number {k} stands alone") for k in range(2, 60)]
+    assert linked(spark, rows) == brute(rows)
+    assert nd.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).count() == 59
 
 
 def test_keep_first(spark):
     rows = corpus(4)
-    df = spark.createDataFrame([*rows, (None, "no id")], "doc_id long, text string")
-    kept = nd.keep_first(df).collect()
-    heads = sorted({h for _, h, _ in brute(rows)})
-    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == heads
-    assert [r.text for r in kept if r.doc_id is None] == ["no id"]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, __near_x int")
+    kept = nd.keep_first(df)
+    assert kept.columns == df.columns
+    # one of each group, and each text without words
+    words = [r for r in rows if (r[1] or "").strip()]
+    bare = [r[0] for r in rows if not (r[1] or "").strip()]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted([*{h for _, h, _ in brute(words)}, *bare])
     assert nd.keep_first(df.limit(0)).count() == 0
 
 
@@ -119,6 +164,8 @@ def test_components(spark):
     got = {r.node: r.comp for r in nd.connected(spark.createDataFrame(edges, "a long, b long"), work.folder(spark, "cc")).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 200: 100, 300: 100}
     assert nd.connected(spark.createDataFrame([], "a long, b long"), work.folder(spark, "cc")).count() == 0
+    with pytest.raises(RuntimeError):
+        nd.connected(spark.createDataFrame(edges, "a long, b long"), work.folder(spark, "cc"), rounds=2)
 
 
 @pytest.mark.parametrize("texts", [["a b", "", None, "  x\ty\n z", "é a", "a" * 50], ["one"], [""]])
