@@ -6,16 +6,19 @@ P(grade <= k) = sigmoid(threshold_k - s(x)).  From these come the expected
 grade and the tail probability P(grade >= k), by which documents are chosen.
 
 Features are the distinct lower-cased words of the whole text and their
-beginnings of 4 to 6 bytes, hashed, as far as they tell grades apart, with a
-share of marked words (that hold a sign other than a letter, digit, comma or
-full stop) and of repeated words in steps.  The model is fitted on a bounded,
-deterministic sample of rated documents (``sample`` a grade, by hash of the
-id); everything else covers all rows.
+beginnings of 4 to 6 bytes, hashed, with a share of marked words (that hold a
+sign other than a letter, digit, comma or full stop) and of repeated words in
+steps.  All of them enter the fit; an adaptive lasso penalty (each feature's by
+the inverse square of its log odds between grades) sets what does not help to
+zero.  The model is fitted on a bounded, deterministic sample of rated documents
+(``sample`` a grade, by hash of the id) in one task; everything else covers all
+rows.
 
 Defined cases: a null or empty text has no features and is scored by the
 thresholds alone; a null doc_id is scored like any other and rates nothing;
-several ratings of a document count as their lowest; without ratings of two
-grades every document has the highest grade; other columns pass through.
+several ratings of a document count as their lowest; of several texts of a rated
+id one counts, the same in every run; without ratings of two grades every
+document has the highest grade; other columns pass through.
 """
 
 from __future__ import annotations
@@ -38,8 +41,8 @@ SIZE = (1 << BITS) + 2 * SHARES
 SLICE = 1 << 20
 #: Lengths in bytes of the word beginnings that are features too.
 PREFIXES = (4, 5, 6)
-#: What a hashed feature must show between some pair of neighbouring grades to be used: z score, log odds.
-LEAST_Z, LEAST_ODDS = 6.0, 4.0
+#: The lasso penalty of a feature is this over its squared log odds, which count as at least LEAST_ODDS.
+PENALTY, LEAST_ODDS = 0.025, 0.4
 #: Signs that ordinary words carry.
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256), *b",."]] = True
@@ -95,10 +98,9 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(-np.clip(score[:, None] - self.thresholds, -60, 60)))
 
 
-def telling(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int) -> np.ndarray:
-    """Which features tell grades apart: by a cut between grades, or between neighbours."""
-    out = np.zeros(SIZE, bool)
-    out[: 2 * SHARES] = True
+def penalties(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int) -> np.ndarray:
+    """The lasso penalty of each feature: small where it tells grades apart, by a cut between grades or between neighbours."""
+    odds = np.full(SIZE, LEAST_ODDS)
     graded = grade.astype(np.int8)[row]
     counts = np.stack([np.bincount(index[graded == k], minlength=SIZE) for k in range(grades)]).astype(float)
     docs = np.bincount(grade, minlength=grades).astype(float)
@@ -107,56 +109,71 @@ def telling(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int)
         for high, low in ((every[k:], every[:k]), ([k], [k - 1])):
             a, b, na, nb = counts[list(high)].sum(0), counts[list(low)].sum(0), docs[list(high)].sum(), docs[list(low)].sum()
             if na and nb:
-                p = (a + b) / (na + nb)
-                z = np.abs(a / na - b / nb) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / na + 1 / nb))
-                odds = np.abs(np.log((a + 0.5) / (na - a + 0.5)) - np.log((b + 0.5) / (nb - b + 0.5)))
-                out |= (z >= LEAST_Z) & (odds >= LEAST_ODDS)
+                odds = np.maximum(odds, np.abs(np.log((a + 0.5) / (na - a + 0.5)) - np.log((b + 0.5) / (nb - b + 0.5))))
+    out = PENALTY / odds**2
+    out[: 2 * SHARES] = 0
     return out
 
 
-def fit(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, ridge: float = 3e-5, steps: int = 400) -> OrdinalModel:
-    """Maximum likelihood with a ridge penalty, by full-batch Adam; weighted so that grades count alike.
+def row_weights(grade: np.ndarray, grades: int) -> np.ndarray:
+    """Weights of documents that let grades count alike; their sum is 1."""
+    out = (1.0 / np.maximum(np.bincount(grade, minlength=grades), 1))[grade]
+    return out / out.sum()
 
-    index and row are distinct features; those that tell no grades apart are left out.
+
+def slopes(score: np.ndarray, theta: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of -log P(grade): the derivatives by the score, by the threshold above and by that below.
+
+    P(y) = F(theta_y) - F(theta_{y-1}) with the logistic F of theta - score.
+    """
+    i = np.arange(len(grade))
+    cum = 1.0 / (1.0 + np.exp(-np.clip(theta - score[:, None], -60, 60)))
+    full = np.column_stack([np.zeros(len(grade)), cum, np.ones(len(grade))])
+    dens = full * (1 - full)
+    p = np.maximum(full[i, grade + 1] - full[i, grade], 1e-12)
+    up, low = dens[i, grade + 1] / p, dens[i, grade] / p
+    return up - low, -up, low
+
+
+def fit(index: np.ndarray, row: np.ndarray, grade: np.ndarray, grades: int, ridge: float = 3e-5, steps: int = 300) -> OrdinalModel:
+    """Penalised maximum likelihood by accelerated proximal gradients; weighted so that grades count alike.
+
+    index and row are distinct features.  The objective is convex; steps are
+    scaled by a bound of its curvature for each feature, so every step is safe.
     """
     n = len(grade)
     if n == 0 or len(np.unique(grade)) < 2:
         return OrdinalModel(np.zeros(SIZE), np.full(grades - 1, -60.0))
-    chosen = telling(index, row, grade, grades)[index]
-    index, row = index[chosen], row[chosen]
+    weight = row_weights(grade, grades)
+    penalty = penalties(index, row, grade, grades)
+    # no derivative exceeds the weight of the documents that hold a feature: below the penalty its weight is zero for certain
+    may = np.bincount(index, weight[row], SIZE) > penalty
+    index, row = index[may[index]], row[may[index]]
     used, index = np.unique(index, return_inverse=True)
-    share = np.bincount(grade, minlength=grades).astype(float)
-    weight = (1.0 / np.maximum(share, 1))[grade]
-    weight /= weight.sum()
-    w = np.zeros(len(used))
-    gaps = np.zeros(grades - 1)  # the first threshold, then logs of the differences
-    gaps[0] = -1.0
-    m1, v1 = np.zeros(len(w) + len(gaps)), np.zeros(len(w) + len(gaps))
-    for t in range(1, steps + 1):
-        theta = gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))])
-        s = np.bincount(row, w[index], n)
-        # P(y) = F(theta_y) - F(theta_{y-1}); derivatives by the two bounds
-        cum = 1.0 / (1.0 + np.exp(-np.clip(theta - s[:, None], -60, 60)))
-        full = np.column_stack([np.zeros(n), cum, np.ones(n)])
-        dens = full * (1 - full)
-        i = np.arange(n)
-        p = np.maximum(full[i, grade + 1] - full[i, grade], 1e-12)
-        up, low = dens[i, grade + 1] / p, dens[i, grade] / p
-        ds = weight * (up - low)  # gradient of -log p by s
+    penalty = penalty[used]
+    # curvature by the score is at most 1/2; a document shares it among its features and thresholds
+    share = 0.5 * weight * (np.bincount(row, minlength=n) + 2)
+    bound = np.concatenate([np.bincount(index, share[row], len(used)) + ridge, np.full(grades - 1, share.sum())])
+    x = np.concatenate([np.zeros(len(used)), np.arange(grades - 1) - 1.0])
+    y, momentum = x, 1.0
+    for _ in range(steps):
+        w, theta = y[: len(used)], y[len(used) :]
+        ds, above, below = slopes(np.bincount(row, w[index], n), theta, grade)
         g_theta = np.zeros(grades + 1)
-        np.add.at(g_theta, grade + 1, -weight * up)
-        np.add.at(g_theta, grade, weight * low)
-        g_theta = g_theta[1:-1]
-        g_gaps = np.array([g_theta.sum(), *(np.exp(gaps[k]) * g_theta[k:].sum() for k in range(1, grades - 1))])
-        grad = np.concatenate([np.bincount(index, ds[row], len(w)) + ridge * w, g_gaps])
-        m1 = 0.9 * m1 + 0.1 * grad
-        v1 = 0.99 * v1 + 0.01 * grad * grad
-        move = 0.08 * (m1 / (1 - 0.9**t)) / (np.sqrt(v1 / (1 - 0.99**t)) + 1e-9)
-        w -= move[: len(w)]
-        gaps -= move[len(w) :]
+        np.add.at(g_theta, grade + 1, weight * above)
+        np.add.at(g_theta, grade, weight * below)
+        grad = np.concatenate([np.bincount(index, (weight * ds)[row], len(w)) + ridge * w, g_theta[1:-1]])
+        after = y - grad / bound
+        cut = penalty / bound[: len(used)]
+        after[: len(used)] = np.sign(after[: len(used)]) * np.maximum(np.abs(after[: len(used)]) - cut, 0)
+        after[len(used) :] = np.maximum.accumulate(after[len(used) :] - 1e-6 * np.arange(grades - 1)) + 1e-6 * np.arange(grades - 1)
+        if ((y - after) * bound) @ (after - x) > 0:
+            momentum = 1.0  # uphill: start the acceleration anew
+        later = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
+        y, x, momentum = after + (momentum - 1) / later * (after - x), after, later
     out = np.zeros(SIZE)
-    out[used] = w
-    return OrdinalModel(out, gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))]))
+    out[used] = x[: len(used)]
+    return OrdinalModel(out, x[len(used) :])
 
 
 def rate(labels: DataFrame) -> DataFrame:
@@ -186,14 +203,22 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int = 3, sample: int = 30
                 at = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=j - i))])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i).cast(pa.int64()), batch.column("grade").slice(i, j - i).cast(pa.int32()), pa.array([index[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], names=["doc_id", "grade", "features"])
 
+    def learn(table: pa.Table) -> pa.Table:
+        table = table.sort_by("doc_id")  # at most sample * grades rows
+        sizes = np.array([len(x.as_buffer()) // 4 for x in table["features"]], np.int64)
+        index = np.concatenate([np.frombuffer(x.as_buffer(), "<i4") for x in table["features"]])
+        model = fit(index, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), table["grade"].to_numpy().astype(np.int64), grades)
+        at = np.flatnonzero(model.weights)
+        return pa.table({"at": pa.array([at.tolist()], pa.list_(pa.int64())), "weights": pa.array([model.weights[at].tolist()], pa.list_(pa.float64())), "thresholds": pa.array([model.thresholds.tolist()], pa.list_(pa.float64()))})
+
     work.tune(docs.sparkSession)
-    got = rows.mapInArrow(featured, "doc_id long, grade int, features binary").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
-    # narrow arrays, and the rows dropped as soon as they are copied: this is the driver's memory
-    grade = np.array([r.grade for r in got], np.int64)
-    sizes = [len(r.features) // 4 for r in got]
-    index = np.frombuffer(b"".join(r.features for r in got), "<i4")
-    del got
-    return fit(index, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), grade, grades)
+    one = rows.mapInArrow(featured, "doc_id long, grade int, features binary").groupBy("doc_id").agg(F.min(F.struct("features", "grade")).alias("x"))
+    model = one.select("doc_id", "x.*").groupBy(F.lit(0).alias("all")).applyInArrow(learn, "at array<long>, weights array<double>, thresholds array<double>").first()
+    if model is None:
+        return OrdinalModel(np.zeros(SIZE), np.full(grades - 1, -60.0))
+    weights = np.zeros(SIZE)
+    weights[model.at] = model.weights
+    return OrdinalModel(weights, np.array(model.thresholds))
 
 
 def classify(docs: DataFrame, model: OrdinalModel, threshold: float = 0.5) -> DataFrame:
