@@ -41,7 +41,7 @@ def op5_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.in_order(mixing.mix(table(spark, sf_dir, "documents")))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "repeats", "position")
 
 

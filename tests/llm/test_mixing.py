@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from siftline.llm import mixing
 
@@ -73,7 +74,40 @@ def test_documents(spark, docs):
     assert got == {k: v for k, v in want.items() if v}
 
 
+def test_query_is_in_order(spark, docs, tmp_path):
+    """Partitions hold ranges of positions, sorted, what is not taken last; all rows are there."""
+    mixing.in_order(mixing.mix(docs)).write.parquet(f"{tmp_path}/out")
+    rows = [r for p in sorted((tmp_path / "out").glob("part-*")) for r in spark.read.parquet(str(p)).collect()]
+    places = [(r.position is None, r.position or 0.0) for r in rows]
+    assert places == sorted(places) and len(rows) == len(ROWS)
+
+
+def test_documents_are_in_even_ranges(spark):
+    rows = [(i, "w " * 50, "abc"[i % 3] if i % 7 else "d") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sizes = [r.n for r in mixing.mixed_documents(docs).groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 4 and max(sizes) < 1.2 * min(sizes)
+
+
+def test_hot_rows(spark):
+    """Copies of one row are counted before they meet, and stand one after the other."""
+    rows = [(1, "a b c", "s")] * 500 + [(k, "d e", "s") for k in range(2, 300)] + [(k, "f", "t") for k in range(300, 400)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(got) == len(rows) and sorted(r.before for r in got if r.doc_id == 1) == sorted({r.before for r in got if r.doc_id == 1})
+    for s in "st":
+        target = {r.target for r in got if r.source == s}
+        assert abs(sum(r.taken for r in got if r.source == s) - target.pop()) <= 1 and not target
+
+
+@pytest.mark.parametrize("sizes", [[10, 0], [100, 1], [0, 0], [5], [1, 1, 1, 1000], [1000, 1, 1, 1], list(range(1, 40))])
+def test_source_targets(spark, sizes):
+    names = [f"s{k:03d}" for k in range(len(sizes))]
+    names[-1] = None
+    df = spark.createDataFrame(list(zip(names, sizes)), "source string, source_size long")
+    want = plain_targets(dict(zip(names, sizes)), 1.5, 2)
+    got = mixing.source_targets(df, (3.0, 1.0, 2.0), 1.5, 2).collect()
+    assert {r.source: r.target for r in got} == {s: pytest.approx(t) for s, t in want.items()}
+
+
 def test_edges(spark, docs):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.mixed_documents(docs.limit(0)).count() == 0
-    assert mixing.share_out([], [], 0, 2) == [] and mixing.share_out([10, 0], [1, 3], 15, 2) == [15, 0]
-    assert mixing.share_out([100, 1], [1, 3], 151.5, 2) == [149.5, 2]
