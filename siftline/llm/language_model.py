@@ -43,7 +43,7 @@ from siftline.llm import textnum, work
 END = np.uint64(0x5EED0E2D0F7E8701)
 BEGIN = np.uint64(0x1B06A3D5B16B00B5)
 #: Bytes of text in a unit, and of all texts to a counting task (of single words, eight times as many).
-UNIT_BYTES, TASK_BYTES = 8 << 20, 12 << 20
+UNIT_BYTES, TASK_BYTES = 4 << 20, 12 << 20
 #: Context-frequency buckets: 0, 1, 2, 3, 4-7, 8-15, ... doubling, as far as counts of 64 bits go.
 BUCKETS = 65
 #: Steps of the held-out histogram to a factor of two of a probability, and its depth: that of one in 2**63.
@@ -173,8 +173,9 @@ def _requests(units: DataFrame, order: int, folds: int, held: int, deals: list[i
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for unit, rows, size, body in zip(*(batch.column(c).to_pylist() for c in ("unit", "rows", "size", "body")), strict=True):
-                doc_id, h, row = _tokens_of(rows, size, body)
+            for unit, rows, size, body in zip(*(batch.column(c) for c in ("unit", "rows", "size", "body")), strict=True):
+                unit = unit.as_py()
+                doc_id, h, row = _tokens_of(rows.as_buffer(), size.as_py(), body.as_buffer())
                 trains = training(doc_id, folds, held)[row] if len(row) else np.zeros(0, bool)
                 for kind, key in enumerate(_grams(h, row, order)):
                     uniq, inverse = np.unique(key, return_inverse=True)
