@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,6 +13,10 @@ from pyspark.sql import functions as F
 from siftline.functions import lexicons as L
 
 
+#: By rule, signs of which every match holds one: a cheap test before the pattern.
+REDACTION_SIGNS = {"email": ("@",), "absolute_local_path": ("/Users/", "/private/", "/var/", "/tmp/"), "personal_name": (":", "="), "proprietary_identifier": (":", "=")}
+
+
 def fold(text: Column) -> Column:
     """Case folding as far as lower case and sharp s go."""
     return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
@@ -92,13 +98,38 @@ def has_markup(text: Column) -> Column:
     return out
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def redacted(text: Column, rules: Sequence[tuple[str, str, str]] = L.REDACTIONS) -> Column:
+    """struct(text, count): ordered replacements, each on the text the last one left, and how many there were.
+
+    A pattern is tried only on texts that hold one of the signs that each of
+    its matches holds (REDACTION_SIGNS).
+    """
+    state = F.struct(text.alias("text"), F.lit(0).alias("count"))
+    for rule in rules:
+        state = let(state, _replacement(*rule))
+    return state
+
+
+def _replacement(name: str, pattern: str, by: str) -> Callable[[Column], Column]:
+    def step(s: Column) -> Column:
+        found = F.regexp_count(s["text"], F.lit(pattern))
+        signs = REDACTION_SIGNS.get(name)
+        if signs:
+            found = F.when(reduce(or_, (F.contains(s["text"], F.lit(x)) for x in signs)), found).otherwise(0)
+        return let(found, lambda n: F.struct(F.when(n > 0, F.regexp_replace(s["text"], pattern, by)).otherwise(s["text"]).alias("text"), (s["count"] + F.coalesce(n, F.lit(0))).alias("count")))
+
+    return step
+
+
 def redact(text: Column, rules: Sequence[tuple[str, str, str]] = L.REDACTIONS) -> tuple[Column, Column]:
-    """(redacted text, number of replacements): ordered, each on the text the last one left."""
-    count = F.lit(0)
-    for _, pattern, replacement in rules:
-        count = count + F.regexp_count(text, F.lit(pattern))
-        text = F.regexp_replace(text, pattern, replacement)
-    return text, count
+    """(redacted text, number of replacements)."""
+    state = redacted(text, rules)
+    return state["text"], state["count"]
 
 
 def high_entropy_secret():

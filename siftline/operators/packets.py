@@ -24,8 +24,8 @@ def checked_events(events: DataFrame) -> DataFrame:
     for pattern in L.UNKNOWN_INSTRUCTIONS:
         unknown = unknown | F.regexp_like("text", F.lit(pattern))
     credential = (F.size(text.credential_ids(F.col("text"))) > 0) | text.high_entropy_secret()("text")
-    redacted, count = text.redact(F.col("text"))
-    out = events.withColumn("redacted", text.escape_markup(redacted)).withColumn("redactions", count)
+    out = events.withColumn("__r", text.redacted(F.col("text")))
+    out = out.withColumn("redacted", text.escape_markup(F.col("__r.text"))).withColumn("redactions", F.col("__r.count")).drop("__r")
     tests = (unknown, F.col("role").isin("system", "developer", "hook") & (F.trim("text") != ""), credential, F.octet_length("redacted") > L.MAX_EVENT_BYTES)
     reason = F.coalesce(*(F.when(test, name) for name, test in zip(CHECKS, tests, strict=True)))
     return out.withColumn("reason", reason)

@@ -1,13 +1,17 @@
 """Greedy, order-keeping packing of sized items within one group.
 
 Greedy packing is not algebraic: an item's packet depends on all before it.
-Each group is one ordered array that a higher-order ``aggregate`` walks inside
-the JVM; groups run in parallel and partial collection keeps map-side combining.
+Rows are dealt by group and sorted, and one pass carries the fill of the open
+packet from row to row, across Arrow batches: linear in the rows, and no group
+is ever held whole.  Groups run in parallel.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,26 +20,31 @@ def greedy(df: DataFrame, keys: list[str], order: list[str], size: Column, limit
 
     Rows of more than the limit get a packet of their own and overflow is true.
     """
-    carry = carry or []
-    item = F.struct(*(F.col(c).alias(c) for c in order), size.cast("long").alias("size"), *(F.col(c).alias(c) for c in carry))
-    grouped = df.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = "array<int>"
-
-    def step(acc: Column, x: Column) -> Column:
-        fresh = (acc["used"] > 0) & (acc["used"] + x["size"] > limit)
-        packet = F.when(fresh, acc["packet"] + 1).otherwise(acc["packet"])
-        used = F.when(fresh, x["size"]).otherwise(acc["used"] + x["size"])
-        return F.struct(packet.alias("packet"), used.alias("used"), F.concat(acc["out"], F.array(packet)).alias("out"))
-
-    start = F.struct(F.lit(1).alias("packet"), F.lit(0).cast("long").alias("used"), F.array().cast(kind).alias("out"))
-    walked = grouped.withColumn("packets", F.aggregate("items", start, step, lambda acc: acc["out"]))
-    flat = walked.select(*keys, F.explode(F.arrays_zip("items", "packets")).alias("z"))
-    return flat.select(*keys, *(F.col(f"z.items.{c}").alias(c) for c in [*order, "size", *carry]), F.col("z.packets").alias("packet"), (F.col("z.items.size") > limit).alias("overflow"))
+    names = [*keys, *order, "size", *(carry or [])]
+    rows = df.select(*keys, *order, size.cast("long").alias("size"), *(carry or []))
+    rows = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, packet, used = None, 0, 0
+        for batch in batches:
+            owners = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            packets = []
+            for owner, n in zip(owners, batch.column("size").to_pylist(), strict=True):
+                n = n or 0
+                if owner != group or packet == 0:
+                    group, packet, used = owner, 1, 0
+                if used > 0 and used + n > limit:
+                    packet, used = packet + 1, 0
+                used += n
+                packets.append(packet)
+            over = [n is not None and n > limit for n in batch.column("size").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packets, pa.int32()), pa.array(over, pa.bool_())], names=[*names, "packet", "overflow"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", packet int, overflow boolean"
+    return rows.mapInArrow(walk, schema)
 
 
 def prefix_that_fits(df: DataFrame, keys: list[str], order: list[str], size: Column, limit: int) -> DataFrame:
     """The longest prefix of each ordered group whose sizes sum to at most the limit."""
-    from pyspark.sql import Window
-
     running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("running_bytes", F.sum(size).over(running)).filter(F.col("running_bytes") <= limit)

@@ -34,16 +34,18 @@ def novelty(candidates: DataFrame, baseline: DataFrame, key: str, least_shared:
     union = F.col("n") + F.col("b_n") - F.col("common")
     exact = (F.col("common") == F.col("n")) & (F.col("common") == F.col("b_n"))
     hit = meets.filter(exact | ((F.col("common") >= least_shared) & (F.col("common") / union >= threshold)))
-    label = F.when(exact & (F.lit(threshold) > 0.5), "exact_baseline_match:").otherwise("semantic_baseline_match:")
-    first = hit.groupBy(key).agg(F.min_by(F.concat(label, F.col("b_id").cast("string")), F.lpad(F.col("b_id").cast("string"), 20, "0")).alias("match"))
+    label = F.when(exact, "exact_baseline_match:").otherwise("semantic_baseline_match:")
+    own_id = F.col("b_id").cast("string")  # ids rank as text
+    first = hit.groupBy(key).agg(F.min_by(F.concat(label, own_id), own_id).alias("match"))
     return candidates.select(key).join(first, key, "left").select(key, F.coalesce("match", F.lit("novel")).alias("outcome"))
 
 
-def block_digests(rows: DataFrame, column: str, start: str, end: str) -> list[str]:
-    """Fingerprints of the blocks in a reviewed sample of rows: a policy, small by nature."""
+def block_digests(rows: DataFrame, column: str, start: str, end: str, k: int) -> list[str]:
+    """Fingerprints of the k most frequent blocks: candidates for a policy, which is short by nature."""
     pattern = f"(?s){re.escape(start)}.*?{re.escape(end)}"
     blocks = rows.select(F.explode(F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(0))).alias("b"))
-    return sorted(r.d for r in blocks.select(text.fingerprint(F.col("b")).alias("d")).distinct().collect())
+    often = blocks.select(text.fingerprint(F.col("b")).alias("d")).groupBy("d").count().orderBy(F.desc("count"), "d").limit(k)
+    return sorted(r.d for r in often.collect())
 
 
 def strip_blocks(rows: DataFrame, column: str, rules: Sequence[tuple[str, str, str, Sequence[str]]]) -> DataFrame:

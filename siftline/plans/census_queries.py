@@ -118,13 +118,12 @@ def census_relationships(spark, sf):
 
 
 @query("""
-WITH k AS (SELECT c_nationkey AS k, count(*) AS n, min(c_custkey) AS id FROM customer WHERE c_acctbal > 9000 GROUP BY c_nationkey)
-SELECT n_nationkey, n_name, CASE WHEN n = 1 THEN id END AS parent_id, r_name FROM nation LEFT JOIN k ON n_nationkey = k LEFT JOIN region ON n_regionkey = r_regionkey""")
+WITH k AS (SELECT o_orderdate AS k, count(*) AS n, min(o_orderkey) AS id FROM orders GROUP BY o_orderdate)
+SELECT l_orderkey, l_linenumber, CASE WHEN n = 1 THEN id END AS parent_id FROM lineitem LEFT JOIN k ON l_shipdate = k""")
 def parent_unique_match(spark, sf):
-    n = table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    out = census.resolve_parents(n, table(spark, sf, "customer").filter("c_acctbal > 9000"), "n_nationkey", "c_nationkey", "c_custkey")
-    regions = table(spark, sf, "region").select("r_regionkey", "r_name")
-    return out.join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "n_name", "parent_id", "r_name")
+    """A line refers to the one order of its day: none or several give no parent."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    return census.resolve_parents(lines, table(spark, sf, "orders"), "l_shipdate", "o_orderdate", "o_orderkey").select("l_orderkey", "l_linenumber", "parent_id")
 
 
 @query("SELECT conv_id, sha256(string_agg(turn || chr(0) || role || chr(0) || text || chr(10), '' ORDER BY turn)) AS content_sha256 FROM conversations GROUP BY conv_id")
@@ -140,7 +139,7 @@ def artifact_ids(spark, sf):
 
 
 @query(f"""
-WITH a AS (SELECT user_id, count(*) AS n FROM events WHERE ts < TIMESTAMP '{START}' AND event_id % 5 = 0 GROUP BY user_id), b AS (SELECT user_id, count(*) AS n FROM events WHERE {_WINDOW} AND event_id % 9 = 0 GROUP BY user_id)
+WITH a AS (SELECT user_id, count(*) AS n FROM events WHERE ts < TIMESTAMP '{START}' GROUP BY user_id), b AS (SELECT user_id, count(*) AS n FROM events WHERE {_WINDOW} GROUP BY user_id)
 SELECT count(*) FILTER (a.user_id IS NULL) AS added, count(*) FILTER (b.user_id IS NULL) AS removed, count(*) FILTER (a.n <> b.n) AS changed, count(*) FILTER (a.n = b.n) AS unchanged
 FROM a FULL OUTER JOIN b ON a.user_id = b.user_id""")
 def cross_scan_delta(spark, sf):
@@ -207,7 +206,7 @@ def ledger_chain(spark, sf):
 
 
 @query("""
-SELECT user_id, count(*) AS parts, CASE WHEN bool_and(event_type <> 'error') THEN sum(event_id % 7) END AS total FROM events WHERE event_id % 11 = 0 GROUP BY user_id""")
+SELECT user_id, count(*) AS parts, CASE WHEN bool_and(event_type <> 'error') THEN sum(event_id % 7) END AS total FROM events GROUP BY user_id""")
 def usage_rollup(spark, sf):
     e = table(spark, sf, "events")
     return e.groupBy("user_id").agg(F.count(F.lit(1)).alias("parts"), F.when(F.bool_and(F.col("event_type") != "error"), F.sum(F.col("event_id") % 7)).alias("total"))

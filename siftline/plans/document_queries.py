@@ -76,9 +76,9 @@ def provider_cost(spark, sf):
     return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", provider.cost(F.col("l_partkey"), F.col("l_suppkey"), "3", "15").cast("double").alias("cost"))
 
 
-@query("SELECT doc_id % 10 AS topic, left(text, 180) AS title, left(text, 700) AS content, source AS recommended_action, lang AS learning_type FROM documents WHERE n_chars > 1500")
+@query("SELECT doc_id % 10 AS topic, left(text, 180) AS title, left(text, 700) AS content, source AS recommended_action, lang AS learning_type FROM documents")
 def calibration_examples(spark, sf):
-    d = table(spark, sf, "documents").filter("n_chars > 1500").select(F.col("text").alias("title"), F.col("text").alias("content"), F.col("source").alias("action"), (F.col("doc_id") % 10).alias("topic"), F.col("lang").alias("learning_type"))
+    d = table(spark, sf, "documents").select(F.col("text").alias("title"), F.col("text").alias("content"), F.col("source").alias("action"), (F.col("doc_id") % 10).alias("topic"), F.col("lang").alias("learning_type"))
     return provider.calibration_examples(d)
 
 

@@ -54,9 +54,9 @@ def missing_packets(spark, sf):
     return table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_anti")
 
 
-@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CAST(coalesce(a, 0) AS BIGINT) AS left_rows, CAST(coalesce(b, 0) AS BIGINT) AS right_rows FROM (SELECT doc_id, count(*) AS a FROM documents WHERE doc_id % 3 <> 0 GROUP BY 1) d FULL OUTER JOIN (SELECT doc_id, count(*) AS b FROM labels GROUP BY 1) l ON d.doc_id = l.doc_id WHERE coalesce(a, 0) <> 1 OR coalesce(b, 0) <> 1")
+@query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, CAST(coalesce(a, 0) AS BIGINT) AS left_rows, CAST(coalesce(b, 0) AS BIGINT) AS right_rows FROM (SELECT doc_id, count(*) AS a FROM documents GROUP BY 1) d FULL OUTER JOIN (SELECT doc_id, count(*) AS b FROM labels GROUP BY 1) l ON d.doc_id = l.doc_id WHERE coalesce(a, 0) <> 1 OR coalesce(b, 0) <> 1")
 def label_coverage(spark, sf):
-    gaps = review.coverage_gaps(table(spark, sf, "documents").filter("doc_id % 3 <> 0"), table(spark, sf, "labels"), "doc_id")
+    gaps = review.coverage_gaps(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
     return gaps.select("doc_id", F.coalesce("left_rows", F.lit(0)).alias("left_rows"), F.coalesce("right_rows", F.lit(0)).alias("right_rows"))
 
 
@@ -80,7 +80,7 @@ def strata_counts(spark, sf):
 _LATTICE = "(SELECT unnest(['claude', 'codex', 'other']) AS harness) CROSS JOIN (SELECT unnest(['interactive', 'sdk']) AS execution_kind) CROSS JOIN (SELECT unnest(['root', 'child']) AS artifact_role)"
 
 
-@query(f"SELECT * FROM {_LATTICE} EXCEPT SELECT harness, execution_kind, artifact_role FROM (SELECT {_STRATA} FROM documents WHERE doc_id < 40)")
+@query(f"SELECT * FROM {_LATTICE} EXCEPT SELECT harness, execution_kind, artifact_role FROM (SELECT {_STRATA} FROM documents)")
 def absent_strata(spark, sf):
     values = [(h, e, r) for h in ("claude", "codex", "other") for e in L.SLOT_EXECUTIONS for r in L.SLOT_ROLES]
     wanted = spark.createDataFrame(values, "harness string, execution_kind string, artifact_role string")
@@ -155,11 +155,11 @@ def support_count(spark, sf):
 
 
 @query("""
-WITH x AS (SELECT a.doc_id AS retained, a.doc_id + 1 AS collapsed, a.text AS t FROM documents a WHERE a.doc_id % 2 = 0)
+WITH x AS (SELECT a.doc_id AS retained, a.doc_id + 1 AS collapsed, a.text AS t FROM documents a)
 SELECT retained, collapsed, b.doc_id IS NULL OR b.text <> t AS false_collapse FROM x LEFT JOIN documents b ON b.doc_id = collapsed""")
 def false_dedup(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text")
-    claims = d.filter("doc_id % 2 = 0").select(F.col("doc_id").alias("retained"), (F.col("doc_id") + 1).alias("collapsed"), F.col("text").alias("kept"))
+    claims = d.select(F.col("doc_id").alias("retained"), (F.col("doc_id") + 1).alias("collapsed"), F.col("text").alias("kept"))
     joined = claims.join(d.select(F.col("doc_id").alias("collapsed"), "text"), "collapsed", "left")
     return joined.select("retained", "collapsed", (~F.coalesce(F.col("kept") == F.col("text"), F.lit(False))).alias("false_collapse"))
 

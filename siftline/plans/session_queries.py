@@ -129,7 +129,7 @@ def pointer_resolvable(spark, sf):
 
 @query("""
 SELECT event_type, user_id % 10 AS pointer, CASE WHEN count(DISTINCT CASE WHEN value > 50 THEN 'observed' ELSE 'asserted' END) = 1 THEN min(CASE WHEN value > 50 THEN 'observed' ELSE 'asserted' END) ELSE 'unknown' END AS strength
-FROM events WHERE event_id % 13 = 0 GROUP BY event_type, user_id % 10""")
+FROM events GROUP BY event_type, user_id % 10""")
 def evidence_index(spark, sf):
     rows = table(spark, sf, "events").select(F.struct("event_type", (F.col("user_id") % 10).alias("pointer")).alias("p"), F.when(F.col("value") > 50, "observed").otherwise("asserted").alias("s"))
     return review.evidence_index(rows, "p", "s").select("p.event_type", "p.pointer", "strength")

@@ -31,23 +31,23 @@ def _semantic(col: str) -> str:
   lambda w: coalesce({_SYN}[w], w)), lambda w: length(w) > 2))"""
 
 
-@query("SELECT doc_id, regexp_replace(text, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{2,}\\b', '[REDACTED:email]', 'g') AS redacted FROM documents WHERE contains(text, '@')")
+@query("SELECT doc_id, regexp_replace(text, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{2,}\\b', '[REDACTED:email]', 'g') AS redacted FROM documents")
 def redact_email(spark, sf):
-    out, _ = text.redact(F.col("text"), L.REDACTIONS[:1])
-    return table(spark, sf, "documents").filter(F.contains("text", F.lit("@"))).select("doc_id", out.alias("redacted"))
+    out = text.redacted(F.col("text"), L.REDACTIONS[:1])
+    return table(spark, sf, "documents").select("doc_id", out["text"].alias("redacted"))
 
 
 @query()
 def redact_full(spark, sf):
     """All five rules in order, then escaping; RE2 has no look-around, so there is no SQL (tested)."""
-    out, count = text.redact(F.col("text"))
-    return table(spark, sf, "documents").select("doc_id", text.escape_markup(out).alias("redacted"), count.alias("redactions"))
+    out = table(spark, sf, "documents").select("doc_id", text.redacted(F.col("text")).alias("r"))
+    return out.select("doc_id", text.escape_markup(F.col("r.text")).alias("redacted"), F.col("r.count").alias("redactions"))
 
 
 @query()
 def redact_phone(spark, sf):
-    out, count = text.redact(F.col("text"), L.REDACTIONS[1:2])
-    return table(spark, sf, "documents").select("doc_id", out.alias("redacted"), count.alias("redactions")).filter("redactions > 0")
+    out = table(spark, sf, "documents").select("doc_id", text.redacted(F.col("text"), L.REDACTIONS[1:2]).alias("r"))
+    return out.select("doc_id", F.col("r.text").alias("redacted"), F.col("r.count").alias("redactions")).filter("redactions > 0")
 
 
 @query("""
@@ -56,16 +56,26 @@ def html_escape(spark, sf):
     return table(spark, sf, "pages").select("page_id", text.escape_markup(F.col("html")).alias("escaped"))
 
 
-_SAFE = L.CREDENTIALS[:5]
-_CRED = "list_sort(list_filter([" + ", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN '{i}' END" for i, p in _SAFE) + "], lambda x: x IS NOT NULL))"
+def _rule(i: str, p: str) -> str:
+    """RE2 has no look-ahead: where one forbids //, the match must begin otherwise."""
+    at = p.find("(?!//)")
+    if at < 0:
+        return f"CASE WHEN regexp_matches(t, '{p}') THEN '{i}' END"
+    before, signs = p[:at], p[at + 6 :]
+    kind = signs[: signs.index("]") + 1]
+    slashless = kind.replace("/", "")
+    return f"CASE WHEN regexp_matches(t, '{before}(?:{slashless}{kind}{{15,}}|/{slashless}{kind}{{14,}})') THEN '{i}' END"
+
+
+_CRED = "list_sort(list_filter([" + ", ".join(_rule(i, p) for i, p in L.CREDENTIALS) + "], lambda x: x IS NOT NULL))"
 
 
 @query(f"""
-WITH t AS (SELECT doc_id, text || CASE doc_id % 20 WHEN 3 THEN ' AKIA' || 'ABCDEFGHIJKLMNOP' WHEN 5 THEN ' Bearer ' || sha256(text) WHEN 7 THEN ' ghp_' || sha256(text) ELSE '' END AS t FROM documents)
+WITH t AS (SELECT doc_id, text || CASE doc_id % 20 WHEN 3 THEN ' AKIA' || 'ABCDEFGHIJKLMNOP' WHEN 5 THEN ' Bearer ' || sha256(text) WHEN 7 THEN ' ghp_' || sha256(text) WHEN 9 THEN ' csrf: ' || sha256(text) WHEN 11 THEN ' session_token= //' || sha256(text) ELSE '' END AS t FROM documents)
 SELECT doc_id, {_CRED} AS rules FROM t""")
 def credential_scan(spark, sf):
     k, h = F.col("doc_id") % 20, F.sha2("text", 256)
-    spiked = F.concat("text", F.when(k == 3, " AKIA" + "ABCDEFGHIJKLMNOP").when(k == 5, F.concat(F.lit(" Bearer "), h)).when(k == 7, F.concat(F.lit(" ghp_"), h)).otherwise(""))
+    spiked = F.concat("text", F.when(k == 3, " AKIA" + "ABCDEFGHIJKLMNOP").when(k == 5, F.concat(F.lit(" Bearer "), h)).when(k == 7, F.concat(F.lit(" ghp_"), h)).when(k == 9, F.concat(F.lit(" csrf: "), h)).when(k == 11, F.concat(F.lit(" session_token= //"), h)).otherwise(""))
     return table(spark, sf, "documents").select("doc_id", spiked.alias("t")).select("doc_id", text.credential_ids(F.col("t")).alias("rules"))
 
 
@@ -75,8 +85,8 @@ def unsafe_scan(spark, sf):
 
 
 @query("""
-WITH c AS (SELECT doc_id, unnest(string_split(left(text, 200), '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY doc_id, ch), t AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY doc_id)
-SELECT doc_id, round(-sum(n / total * log2(n / total)), 6) AS bits FROM n JOIN t USING (doc_id) GROUP BY doc_id""")
+WITH c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch FROM documents), n AS (SELECT doc_id, ch, count(*) AS n FROM c GROUP BY doc_id, ch), t AS (SELECT doc_id, sum(n) AS total FROM n GROUP BY doc_id)
+SELECT d.doc_id, coalesce(b.bits, 0.0) AS bits FROM documents d LEFT JOIN (SELECT doc_id, round(-sum(n / total * log2(n / total)), 6) AS bits FROM n JOIN t USING (doc_id) GROUP BY doc_id) b USING (doc_id)""")
 def entropy(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.round(text.entropy(F.col("text")), 6).alias("bits"))
 
@@ -89,8 +99,8 @@ def high_entropy_secret(spark, sf):
 
 @query()
 def injected_blocks(spark, sf):
-    """Registered blocks are cut out, changed ones quarantine: pages with <script> as the block (tested)."""
-    known = [ids_ for ids_ in probe.block_digests(table(spark, sf, "pages").filter("page_id % 10 = 0"), "html", "<script>", "</script>")]
+    """Registered blocks are cut out, others quarantine: pages, with the 20 most frequent <script> blocks registered (tested)."""
+    known = probe.block_digests(table(spark, sf, "pages"), "html", "<script>", "</script>", 20)
     return probe.strip_blocks(table(spark, sf, "pages").select("page_id", "html"), "html", [("script", "<script>", "</script>", known)]).select("page_id", "status", "reason", "excluded", F.length("remaining").alias("remaining_chars"))
 
 
@@ -117,8 +127,9 @@ WITH s AS (SELECT doc_id, source, 5 * {_shared('t', MARKETING)} + 2 * {_shared('
 
 
 def _scored(spark, sf):
-    score = text.marketing_score(text.tokens(F.col("text")), MARKETING, DECISION, HARNESS)
-    return table(spark, sf, "documents").select("doc_id", "source", score.alias("score"))
+    # the tokens are a column of their own, so that they are found once
+    t = table(spark, sf, "documents").select("doc_id", "source", text.tokens(F.col("text")).alias("t"))
+    return t.select("doc_id", "source", text.marketing_score(F.col("t"), MARKETING, DECISION, HARNESS).alias("score"))
 
 
 @query(_SCORES + "SELECT source, doc_id, score, CAST(k AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS k FROM s WHERE score > 0) WHERE k <= 16")
@@ -135,11 +146,11 @@ def root_topk(spark, sf):
 _NOVEL = f"""
 WITH c AS (SELECT doc_id, {_semantic('text')} AS t FROM documents), b AS (SELECT item_id, {_semantic('text')} AS t FROM benchmark),
 p AS (SELECT doc_id, item_id, len(list_intersect(c.t, b.t)) AS i, len(list_distinct(list_concat(c.t, b.t))) AS u, list_sort(c.t) = list_sort(b.t) AS same FROM c CROSS JOIN b),
-m AS (SELECT doc_id, min(lpad(CAST(item_id AS VARCHAR), 8, '0')) AS first FROM p WHERE same OR (i >= 4 AND i * 1.0 / u >= 0.1) GROUP BY doc_id)
+m AS (SELECT doc_id, arg_min(CASE WHEN same THEN 'exact' ELSE 'semantic' END || '_baseline_match:' || item_id, CAST(item_id AS VARCHAR)) AS first FROM p WHERE same OR (i >= 4 AND i * 1.0 / u >= 0.1) GROUP BY doc_id)
 """
 
 
-@query(_NOVEL + "SELECT c.doc_id, CASE WHEN first IS NULL THEN 'novel' ELSE 'semantic_baseline_match:' || CAST(first AS BIGINT) END AS outcome FROM c LEFT JOIN m USING (doc_id)")
+@query(_NOVEL + "SELECT c.doc_id, coalesce(first, 'novel') AS outcome FROM c LEFT JOIN m USING (doc_id)")
 def jaccard_novelty(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", text.semantic_tokens(F.col("text")).alias("tokens"))
     base = table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), text.semantic_tokens(F.col("text")).alias("tokens"))
