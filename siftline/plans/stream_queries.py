@@ -12,32 +12,39 @@ from siftline.streaming import windows
 
 
 def _folder(spark) -> str:
+    """A new folder that the driver and executors share; a temporary one only where they are one process."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         import tempfile
 
         base = "file://" + tempfile.mkdtemp(prefix="siftline-")
     return f"{base.rstrip('/')}/siftline/stream-{uuid.uuid4().hex}"
 
 
-@query()
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_window_counts(spark, sf):
-    """Hourly counts by type in append mode: windows still open at the end stay unsent."""
+    """Hourly counts by type: the last state of every window, those still open too."""
     events = windows.stream_table(spark, f"{sf}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "event_id")
     out, path = windows.windowed_counts(events, "ts", "event_type", "1 hour", "1 hour"), _folder(spark)
-    windows.run_available(out, f"{path}/out", f"{path}/state")
-    return spark.read.schema(out.schema).parquet(f"{path}/out")
+    windows.run_updates(out, f"{path}/out", f"{path}/state")
+    done = windows.latest(spark, f"{path}/out", ["start", "event_type"], out.schema)
+    return done.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query()
+@query("SELECT event_id, any_value(user_id) AS user_id FROM events GROUP BY event_id")
 def stream_dedup(spark, sf):
     events = windows.stream_table(spark, f"{sf}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "user_id")
     out, path = windows.deduplicated(events, "ts", "event_id", "1 hour"), _folder(spark)
     windows.run_available(out, f"{path}/out", f"{path}/state")
-    return spark.read.schema(out.schema).parquet(f"{path}/out")
+    return spark.read.schema(out.schema).parquet(f"{path}/out").select("event_id", "user_id")
 
 
-@query()
+@query("""
+WITH f AS (SELECT user_id, event_type, row_number() OVER w AS n, lag(event_type) OVER w AS was FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+e AS (SELECT *, event_type <> 'error' OR coalesce(was, '') = 'error' AS done FROM f), s AS (SELECT user_id, min(n) FILTER (done) AS stop FROM e GROUP BY user_id)
+SELECT CAST(e.user_id AS VARCHAR) AS item, CAST(n AS INTEGER) AS attempt, event_type AS outcome, done AS terminal FROM e JOIN s USING (user_id) WHERE stop IS NULL OR n <= stop""")
 def stream_attempt_ledger(spark, sf):
     events = windows.stream_table(spark, f"{sf}/events.parquet").select("event_id", "user_id", "event_type")
     out, path = windows.attempt_ledger(events, "user_id", "event_id", "event_type", "error"), _folder(spark)
