@@ -7,8 +7,13 @@ uses line numbers, never the order of arrival.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from siftline.functions import ids
 from siftline.functions import lexicons as L
@@ -66,9 +71,35 @@ def terminal_status(read_failed: Column, changed: Column, oversized: Column, mal
 
 
 def content_hash(df: DataFrame, keys: list[str], order: list[str], line: Column) -> DataFrame:
-    """SHA-256 over the lines of each group in order, each with a newline."""
-    rows = F.array_sort(F.collect_list(F.struct(*order, line.alias("line"))))
-    return df.groupBy(*keys).agg(F.sha2(F.array_join(F.transform(rows, lambda r: F.concat(r["line"], F.lit("\n"))), ""), 256).alias("content_sha256"))
+    """SHA-256 over the lines of each group in order, each with a newline.
+
+    One pass over sorted rows feeds the running hash of a group, so no group is held.
+    """
+    rows = df.select(*keys, *order, line.alias("__line")).repartition(*keys).sortWithinPartitions(*keys, *order)
+    kept = StructType([*(rows.schema[k] for k in keys), StructField("content_sha256", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, state = None, None
+
+        def told(done: list) -> pa.RecordBatch:
+            columns = list(zip(*done, strict=True))
+            return pa.RecordBatch.from_arrays([*(pa.array(c, types[k]) for k, c in zip(keys, columns, strict=False)), pa.array(columns[-1], pa.string())], names=[*keys, "content_sha256"])
+
+        for batch in batches:
+            types, done = {k: batch.column(k).type for k in keys}, []
+            for key, value in zip(zip(*(batch.column(k).to_pylist() for k in keys), strict=True), batch.column("__line").to_pylist(), strict=True):
+                if state is None or key != own:
+                    if state is not None:
+                        done.append((*own, state.hexdigest()))
+                    own, state = key, hashlib.sha256()
+                if value is not None:
+                    state.update(value.encode() + b"\n")
+            if done:
+                yield told(done)
+        if state is not None:
+            yield told([(*own, state.hexdigest())])
+
+    return rows.mapInArrow(run, kept)
 
 
 def status_summary(status: DataFrame, group: str, total: str = "all") -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siftline.operators import sessions
 from siftline.plans.registry import query, table
+from siftline.sources import jsonl
 from siftline.streaming import windows
 
 
@@ -52,25 +54,99 @@ def stream_attempt_ledger(spark, sf):
     return spark.read.schema(out.schema).parquet(f"{path}/out")
 
 
+def _at(text):
+    return F.lit(text).cast("timestamp")
+
+
 def _lines(spark, sf):
-    """Conversations as JSON lines of a session source, a minute a turn."""
+    """Conversations as lines of a session source, a minute a turn, in all the ways that records differ.
+
+    By conv_id % 6: conflicting parents, a child, conflicting ids, a second id, late ids, a sidechain;
+    by conv_id % 5 the third line has a time that is none, or no time.
+    """
     c = table(spark, sf, "conversations")
-    stamp = F.concat(F.lit("2024-01-01T00:0"), F.col("turn").cast("string"), F.lit(":00Z"))
-    body = F.to_json(F.struct(F.struct(F.col("text").alias("content"), F.col("role").alias("role")).alias("message"), F.concat(F.lit("s"), F.col("conv_id").cast("string")).alias("sessionId"), stamp.alias("timestamp"), F.col("role").alias("type")))
-    path = F.concat(F.lit("/root/chat/"), F.col("conv_id").cast("string"), F.lit(".jsonl"))
-    lines = c.select(F.lit("claude").alias("harness"), path.alias("path"), F.col("turn").cast("long").alias("line_no"), body.alias("raw"), F.octet_length(body).cast("long").alias("bytes"), F.lit("parsed").alias("state"), body.alias("canonical"))
-    return sessions.records(lines, {"claude": "/root/chat"}, F.lit("2024-01-01T00:01:00Z").cast("timestamp"), F.lit("2024-01-01T00:04:00Z").cast("timestamp"))
+    k, t, conv = F.col("conv_id") % 6, F.col("turn"), F.col("conv_id").cast("string")
+    odd = F.when(t == 2, F.col("conv_id") % 5)
+    stamp = F.when(odd == 0, "1700000000").when(odd == 1, F.lit(None)).otherwise(F.concat(F.lit("2024-01-01T00:0"), t.cast("string"), F.lit(":00Z")))
+    own = F.when((k == 2) & (t == 1), F.concat(F.lit("other"), conv)).when((k == 4) & (t >= 4), "late").otherwise(F.concat(F.lit("s"), conv))
+    body = F.to_json(F.struct(
+        F.col("role").alias("type"), stamp.alias("timestamp"), own.alias("sessionId"), F.when(k == 3, F.concat(F.lit("x"), conv)).alias("session_id"),
+        F.when(k == 1, F.concat(F.lit("s"), (F.col("conv_id") - 1).cast("string"))).alias("parentUuid"), F.when(k == 0, F.concat(F.lit("p"), (t % 2).cast("string"))).alias("parent_uuid"),
+        F.when(k == 4, "sdk-ts").when(k == 5, "cli").alias("entrypoint"), F.when(k == 4, False).when(k == 5, True).alias("isSidechain"), F.when(k == 5, "/a/tests/b").when(k == 0, "/x/documents/y").alias("cwd"),
+        F.struct(F.col("role").alias("role"), F.col("text").alias("content")).alias("message"),
+    ))
+    path = F.concat(F.lit("/root/chat/"), conv, F.lit(".jsonl"))
+    lines = c.select(F.lit("claude").alias("harness"), path.alias("path"), t.cast("long").alias("line_no"), body.alias("raw"), F.octet_length(body).cast("long").alias("bytes"))
+    return sessions.records(jsonl.parse_lines(lines), {"claude": "/root/chat"}, _at("2024-01-01T00:01:00Z"), _at("2024-01-01T00:04:00Z"))
+
+
+def _dependence(harness: str, entry: str, container: str, parent: str, directory: str) -> str:
+    """SQL of a dependence group's id."""
+    anchor = f"CASE WHEN {container} <> '?' THEN {container} ELSE {parent} END"
+    fields = {"code_version": "'?'", "configuration_version": "'?'", "entry_point": entry, "group_anchor": anchor, "harness": f"'{harness}'", "injected_context_fingerprint": "'?'", "input_hash": "'?'", "parent_reference": parent, "prompt_hash": "'?'", "session_container_id": container, "session_kind": "'?'", "source_dataset": "'?'", "working_directory_category": directory}
+    inner = " || ',' || ".join(f"'\"{k}\":\"' || {v} || '\"'" for k, v in fields.items())
+    return f"'dependence-' || left(sha256('{{' || {inner} || '}}'), 24)"
+
+
+_CLAUDE = """
+WITH r AS (SELECT conv_id, turn AS t, role, text, conv_id % 6 AS k, conv_id % 5 AS m, turn < 4 AND NOT (turn = 2 AND conv_id % 5 < 2) AS early,
+  CASE WHEN conv_id % 6 = 2 AND turn = 1 THEN 'other' || conv_id WHEN conv_id % 6 = 4 AND turn >= 4 THEN 'late' ELSE 's' || conv_id END AS sid FROM conversations),
+j AS (SELECT *, '{' || array_to_string(list_filter([CASE k WHEN 5 THEN '"cwd":"/a/tests/b"' WHEN 0 THEN '"cwd":"/x/documents/y"' END, CASE k WHEN 4 THEN '"entrypoint":"sdk-ts"' WHEN 5 THEN '"entrypoint":"cli"' END,
+  CASE k WHEN 4 THEN '"isSidechain":false' WHEN 5 THEN '"isSidechain":true' END, '"message":{"content":' || to_json(text) || ',"role":"' || role || '"}', CASE WHEN k = 1 THEN '"parentUuid":"s' || (conv_id - 1) || '"' END,
+  CASE WHEN k = 0 THEN '"parent_uuid":"p' || (t % 2) || '"' END, '"sessionId":"' || sid || '"', CASE WHEN k = 3 THEN '"session_id":"x' || conv_id || '"' END, '"timestamp":"2024-01-01T00:0' || t || ':00Z"', '"type":"' || role || '"'], lambda x: x IS NOT NULL), ',') || '}' || chr(10) AS line FROM r),
+a AS (SELECT conv_id, k, 'artifact-' || left(sha256('claude' || chr(0) || conv_id || '.jsonl'), 24) AS artifact_id, count(*) AS total_lines, count(*) AS parsed_lines, count(*) FILTER (t = 2 AND m = 1) AS missing_timestamps,
+  count(*) FILTER (t = 2 AND m = 0) AS invalid_timestamps, count(*) FILTER (early AND t >= 1) AS events, CAST(coalesce(sum(octet_length(encode(line))) FILTER (early AND t >= 1), 0) AS BIGINT) AS canonical_bytes,
+  coalesce(sha256(string_agg(line, '' ORDER BY t) FILTER (early AND t >= 1)), '?') AS content_sha256, count(DISTINCT sid) FILTER (early) AS n_ids, min(sid) FILTER (early) AS one_id, count(*) FILTER (early) AS n_early,
+  count(*) FILTER (t >= 4 AND k = 4) AS n_late, count(DISTINCT t % 2) FILTER (early) AS n_parents, min(t % 2) FILTER (early) AS a_parent FROM j GROUP BY conv_id, k),
+b AS (SELECT *, CASE WHEN n_ids = 1 THEN one_id ELSE '?' END AS session_id, n_ids > 1 AS conflicting_ids, CAST(CASE WHEN k = 3 AND n_early > 0 THEN 1 ELSE 0 END AS INTEGER) AS supplemental_ids,
+  CAST(CASE WHEN n_ids = 1 THEN n_late ELSE 0 END AS BIGINT) AS post_cutoff_conflicts, CASE WHEN n_early = 0 THEN '?' WHEN k = 1 THEN 's' || (conv_id - 1) WHEN k = 0 AND n_parents = 1 THEN 'p' || a_parent ELSE '?' END AS parent_ref,
+  CASE WHEN n_early = 0 THEN '?' WHEN k = 4 THEN 'sdk-ts' WHEN k = 5 THEN 'cli' ELSE '?' END AS entry, CASE WHEN n_early = 0 THEN 'unknown' WHEN k = 5 THEN 'synthetic_test' WHEN k = 0 THEN 'documents' ELSE 'unknown' END AS directory FROM a)
+"""
+
+
+@query(_CLAUDE + f"""
+SELECT b.artifact_id, b.total_lines, b.parsed_lines, b.missing_timestamps, b.invalid_timestamps, b.events, b.canonical_bytes, b.content_sha256, b.session_id, b.session_id AS container_id, b.conflicting_ids, b.session_id = '?' AS missing_session_id, b.supplemental_ids,
+  b.post_cutoff_conflicts, b.parent_ref, p.artifact_id AS parent_id, b.entry, b.directory, CASE WHEN b.entry = 'sdk-ts' THEN 'sdk' WHEN b.entry = 'cli' THEN 'interactive' ELSE 'unknown' END AS shape,
+  CASE WHEN b.parent_ref <> '?' OR (b.k = 5 AND b.n_early > 0) THEN 'child_agent' WHEN b.k = 4 AND b.n_early > 0 THEN 'root_conversation' ELSE 'unknown' END AS source_kind,
+  CASE WHEN b.events > 0 THEN 'complete' ELSE 'excluded' END AS status, CASE WHEN b.events = 0 THEN 'no_in_window_events' END AS reason, {_dependence("claude", "b.entry", "b.session_id", "b.parent_ref", "b.directory")} AS dependence_group_id
+FROM b LEFT JOIN b p ON b.parent_ref = p.session_id AND p.session_id <> '?'""")
+def session_census(spark, sf):
+    """Every column of the census of conversations as session records (no session id occurs twice)."""
+    out = sessions.artifact_census(_lines(spark, sf))
+    return out.select("artifact_id", "total_lines", "parsed_lines", "missing_timestamps", "invalid_timestamps", "events", "canonical_bytes", "content_sha256", "session_id", "container_id", "conflicting_ids", "missing_session_id", "supplemental_ids",
+                      "post_cutoff_conflicts", "parent_ref", "parent_id", "entry", "directory", "shape", "source_kind", "status", "reason", "dependence_group_id")
 
 
 @query("""
-WITH k AS (SELECT conv_id, 'artifact-' || left(sha256('claude' || chr(0) || conv_id || '.jsonl'), 24) AS artifact_id, turn FROM conversations)
-SELECT artifact_id, count(*) AS total_lines, count(*) FILTER (turn BETWEEN 1 AND 3) AS events, 's' || conv_id AS session_id, CASE WHEN count(*) FILTER (turn BETWEEN 1 AND 3) > 0 THEN 'complete' ELSE 'excluded' END AS status FROM k GROUP BY conv_id, artifact_id""")
-def session_census(spark, sf):
-    return sessions.artifact_census(_lines(spark, sf)).select("artifact_id", "total_lines", "events", "session_id", "status")
+WITH r AS (SELECT user_id AS u, ts, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS n FROM events),
+x AS (SELECT *, ts < TIMESTAMP '2024-01-22 12:00:00' AS early, ts >= TIMESTAMP '2024-01-08 00:00:00' AND ts < TIMESTAMP '2024-01-22 12:00:00' AS inside,
+  (n = 0 AND u % 4 <> 2) AS own_meta, (n = 2 AND u % 4 = 1) AS old_meta FROM r),
+a AS (SELECT u, count(*) AS total_lines, count(*) FILTER (inside) AS events, count(*) FILTER (event_type = 'error' AND NOT own_meta AND NOT old_meta) AS unknown_types, bool_or(own_meta AND early) AS has_own, bool_or(old_meta AND early) AS has_old,
+  bool_or(old_meta AND NOT early) AS late_old, bool_or(early AND NOT own_meta AND NOT old_meta) AS has_other FROM x GROUP BY u),
+b AS (SELECT *, CASE WHEN has_own THEN 't' || u WHEN has_old THEN 't' || (u - 1) WHEN has_other THEN 'c' || u ELSE '?' END AS session_id, CASE WHEN has_own OR (has_other AND NOT has_old) THEN 'c' || u WHEN has_old THEN 'c' || (u - 1) ELSE '?' END AS container_id,
+  CASE WHEN has_own AND u % 4 = 3 THEN 't' || (u - 1) ELSE '?' END AS parent_ref FROM a)
+SELECT 'artifact-' || left(sha256('codex' || chr(0) || 'u' || u || '.jsonl'), 24) AS artifact_id, total_lines, events, unknown_types, session_id, container_id, parent_ref, session_id = '?' AS missing_session_id, CAST(CASE WHEN has_own AND has_old THEN 2 ELSE 0 END AS INTEGER) AS supplemental_ids,
+  CAST(CASE WHEN has_own AND late_old THEN 1 ELSE 0 END AS BIGINT) AS post_cutoff_conflicts, CASE WHEN has_own THEN 'interactive' ELSE 'unknown' END AS shape, CASE WHEN parent_ref <> '?' THEN 'child_agent' ELSE 'unknown' END AS source_kind, CASE WHEN events > 0 THEN 'complete' ELSE 'excluded' END AS status FROM b""")
+def codex_census(spark, sf):
+    """Events as records of one artifact a user: own and retained session metadata, children, unknown types, ids after the cutoff."""
+    n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    e = table(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), n.alias("n"))
+    u, name = F.col("user_id"), lambda p, d=0: F.concat(F.lit(p), (F.col("user_id") - d).cast("string"))
+    own, old = (F.col("n") == 0) & (u % 4 != 2), (F.col("n") == 2) & (u % 4 == 1)
+    payload = F.struct(
+        F.when(own, name("t")).when(old, name("t", 1)).alias("id"), F.when(old, name("c", 1)).otherwise(name("c")).alias("session_id"), F.when(own & (u % 4 == 3), name("t", 1)).when(old, "zzz").alias("parent_thread_id"), F.when(own, "cli").when(old, "other").alias("source"),
+    )
+    kind = F.when(own | old, "session_meta").when(F.col("event_type") == "error", "weird").otherwise("response_item")
+    body = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), kind.alias("type"), payload.alias("payload")))
+    lines = e.select(F.lit("codex").alias("harness"), F.concat(F.lit("/root/codex/u"), u.cast("string"), F.lit(".jsonl")).alias("path"), F.col("n").cast("long").alias("line_no"), body.alias("raw"), F.octet_length(body).cast("long").alias("bytes"))
+    rows = sessions.records(jsonl.parse_lines(lines), {"codex": "/root/codex"}, _at("2024-01-08T00:00:00Z"), _at("2024-01-22T12:00:00Z"))
+    out = sessions.artifact_census(rows)
+    return out.select("artifact_id", "total_lines", "events", "unknown_types", "session_id", "container_id", "parent_ref", "missing_session_id", "supplemental_ids", "post_cutoff_conflicts", "shape", "source_kind", "status")
 
 
 @query("""
 SELECT 'artifact-' || left(sha256('claude' || chr(0) || conv_id || '.jsonl'), 24) AS artifact_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER) AS ordinal, role,
-  CASE role WHEN 'user' THEN 'asserted' ELSE 'reasoned' END AS strength, sha256(text) AS text_sha256 FROM conversations WHERE turn BETWEEN 1 AND 3 AND role IN ('user', 'assistant', 'system')""")
+  CASE role WHEN 'user' THEN 'asserted' ELSE 'reasoned' END AS strength, sha256(text) AS text_sha256 FROM conversations
+  WHERE turn BETWEEN 1 AND 3 AND NOT (turn = 2 AND conv_id % 5 < 2) AND role IN ('user', 'assistant', 'system')""")
 def session_events(spark, sf):
     return sessions.normalized_events(_lines(spark, sf)).select("artifact_id", "ordinal", "role", "strength", F.sha2("text", 256).alias("text_sha256"))

@@ -82,7 +82,7 @@ def test_discovery(tmp_path):
     os.mkfifo(root / "pipe.jsonl")
     got = jsonl.discover({"h": str(root)})
     assert [os.path.relpath(p, root) for _, p in got.files] == ["a/x.jsonl", "b.jsonl"]
-    assert sorted(r[2] for r in got.refused) == ["source_not_regular", "source_symlink_rejected"]
+    assert sorted(r[2] for r in got.refused) == ["special_file_rejected", "symlink_rejected"]
     with pytest.raises(ValueError):
         os.symlink(root, tmp_path / "rl")
         jsonl.discover({"h": str(tmp_path / "rl")})
