@@ -11,8 +11,9 @@ largest page id is a response and the others are revisits that refer to it.
 
 Defined cases: a null html is an empty payload; a null url or page_id is
 written as an absent header and read back as null (a null page_id sorts below
-all others); repeated rows with the largest id are all responses; an empty
-table writes no files; other columns are ignored.
+all others); repeated rows with the largest id are all responses, and one
+record written several times; an empty table writes no files; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from siftline.llm import textnum, work
 MAGIC = b"\x1f\x8b\x08"
 #: Bytes of a split of the reader, and of one read.
 SPLIT_BYTES, READ_BYTES = 8 << 20, 1 << 20
+#: Payloads with more than this part of all pages are marked by broadcast; there are fewer than that.
+LARGE = 1000
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, path string, offset long"
 
 
@@ -42,18 +45,22 @@ def digest32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def _uri(page_id: int) -> str:
-    return f"<urn:page:{page_id}>"
+def record_id(page_id: int, digest: str) -> str:
+    """The id of the response of a page, which its revisits name too."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>"
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
-    """One record with its block, uncompressed."""
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, place: str = "") -> bytes:
+    """One record with its block, uncompressed; place tells records apart that have no id of a page, or are revisits."""
+    digest = digest32(payload)
+    own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{place}:{page_id}:{digest}')}>" if revisit or page_id is None else record_id(page_id, digest)
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}')}>",
+        f"WARC-Record-ID: {own}",
         "WARC-Date: 1970-01-01T00:00:00Z",
-        f"WARC-Payload-Digest: sha1:{digest32(payload)}",
+        "Content-Type: text/html; charset=utf-8",
+        f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {len(payload)}",
     ]
     if page_id is not None:
@@ -63,7 +70,8 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
     block = payload
     if revisit:
         head.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        head.append(f"WARC-Refers-To: {_uri(refers_to)}")
+        head.append(f"WARC-Refers-To: {record_id(refers_to, digest)}")
+        head.append(f"X-Refers-To-Page: {refers_to}")
         block = b""
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -94,9 +102,13 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), F.sha1(payload).alias("key"))
     groups = pages.select(F.col("page_id").cast("long").alias("page_id"), payload.alias("payload")).filter(F.octet_length("payload") >= min_bytes)
     groups = groups.groupBy(F.sha1("payload").alias("g_key")).agg(F.max("page_id").alias("g_last"), F.min("page_id").alias("g_first"), F.count(F.lit(1)).alias("n"), F.count("page_id").alias("known"))
-    # only payloads that differ in page: few, and joined by digest
-    groups = groups.filter((F.col("g_last") != F.col("g_first")) | ((F.col("known") < F.col("n")) & (F.col("known") > 0))).select("g_key", "g_last")
-    joined = keyed.join(groups, F.col("key") == F.col("g_key"), "left")
+    # only payloads that differ in page, joined by digest: a payload of many pages by broadcast, so that they stay where they are
+    groups = groups.filter((F.col("g_last") != F.col("g_first")) | ((F.col("known") < F.col("n")) & (F.col("known") > 0))).select("g_key", "g_last", "n")
+    groups = work.stored(groups, work.folder(pages.sparkSession, "digests"))
+    least = pages.count() // LARGE
+    often = F.broadcast(groups.filter(F.col("n") > least).limit(LARGE))  # fewer than LARGE payloads have more than 1/LARGE of the pages each
+    seldom = keyed.join(often.select("g_key"), F.col("key") == F.col("g_key"), "left_anti").join(groups.filter(F.col("n") <= least), F.col("key") == F.col("g_key"), "left")
+    joined = keyed.join(often, F.col("key") == F.col("g_key")).unionByName(seldom)
     other = F.col("g_last").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") != F.col("g_last")))
     return joined.select("page_id", "url", "payload", F.when(other, F.col("g_last")).alias("refers_to"))
 
@@ -115,7 +127,7 @@ def write_warc(marked: DataFrame, path: str) -> DataFrame:
                         fs, local = work.opened(name)
                         fs.create_dir(local.rsplit("/", 1)[0], recursive=True)
                         out = fs.open_output_stream(local, compression=None)
-                    raw = member(record(page_id, url, payload, refers, refers is not None))
+                    raw = member(record(page_id, url, payload, refers, refers is not None, f"{name}:{count}"))
                     out.write(raw)
                     size, count = size + len(raw), count + 1
         finally:
@@ -207,7 +219,7 @@ def read_warc(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 with fs.open_input_file(local) as src:
                     for offset, rec in scan(src, size, start, start + split_bytes):
                         kind, block = rec["warc-type"], rec["block"]
-                        refers = int(rec["warc-refers-to"][10:-1]) if kind == "revisit" else None
+                        refers = int(rec["x-refers-to-page"]) if kind == "revisit" else None
                         url = rec.get("warc-target-uri")
                         url = re.sub(r"%(0D|0A|25)", lambda m: chr(int(m[1], 16)), url) if url is not None else None
                         page = int(rec["x-page-id"]) if "x-page-id" in rec else None

@@ -2,7 +2,8 @@
 
 Executors share only the folder that the cluster names in
 ``spark.checkpoint.dir``; tables and files that cut lineage go there.  Only
-where the setting is empty (local tests) a temporary folder is used instead.
+where the setting is empty and driver and executors are one process (local
+tests) a temporary folder is used instead; a cluster must name one.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ def shared_dir(spark: SparkSession) -> str:
         known = spark.sparkContext.getCheckpointDir()
         if known:
             return known
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="siftline-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
