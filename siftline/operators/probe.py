@@ -1,17 +1,15 @@
-"""Value probe: scores, top events, novelty against a baseline, blocks, shape checks."""
+"""Value probe: scores, top events, novelty against a baseline, blocks."""
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from siftline.functions import text
-from siftline.functions import lexicons as L
+from siftline.functions import blocks, text
 
 
 def top_events(scored: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -55,29 +53,11 @@ def strip_blocks(rows: DataFrame, column: str, rules: Sequence[tuple[str, str, s
     out; a changed or open one, or an unknown instruction in what remains,
     quarantines the row.  Literal search needs a cursor, hence Arrow batches.
     """
-    unknown = [re.compile(p) for p in L.UNKNOWN_INSTRUCTIONS]
-    known = [(start, end, frozenset(digests)) for _, start, end, digests in rules]
-
-    def digest(block: str) -> str:
-        return hashlib.sha256(re.sub(r"\s+", " ", block).strip().encode()).hexdigest()
+    look = blocks.Inspector([blocks.Rule(start, end, frozenset(digests)) for _, start, end, digests in rules])
 
     def inspect(value: str | None) -> tuple[str, str | None, str | None, int]:
-        left, cut = value or "", 0
-        for start, end, digests in known:
-            kept, at = [], 0
-            while (a := left.find(start, at)) >= 0:
-                b = left.find(end, a + len(start))
-                if b < 0:
-                    return "quarantined", "unresolved_injected_context", None, cut
-                b += len(end)
-                if digest(left[a:b]) not in digests:
-                    return "quarantined", "unknown_injected_context", None, cut
-                kept.append(left[at:a])
-                at, cut = b, cut + 1
-            left = "".join(kept) + left[at:]
-        if any(p.search(left) for p in unknown):
-            return "quarantined", "unknown_injected_context", None, cut
-        return "safe", None, left, cut
+        found = look(value)
+        return "quarantined" if found.reason else "safe", found.reason, found.remaining, len(found.fingerprints)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -86,17 +66,3 @@ def strip_blocks(rows: DataFrame, column: str, rules: Sequence[tuple[str, str, s
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", status string, reason string, remaining string, excluded int"
     return rows.mapInPandas(run, schema)
-
-
-def schema_errors(json: Column, schema: dict[str, tuple[str, bool]]) -> Column:
-    """Sorted errors of a flat JSON object against name -> (type, required)."""
-    kinds = {"string": "STRING", "integer": "BIGINT", "number": "DOUBLE", "boolean": "BOOLEAN"}
-    value = F.try_parse_json(json)
-    checks = [F.when(value.isNull(), "$:type")]
-    for name, (kind, required) in schema.items():
-        own = F.try_variant_get(value, f"$.{name}", "variant")
-        actual = F.schema_of_variant(own)
-        if required:
-            checks.append(F.when(value.isNotNull() & own.isNull(), f"$.{name}:required"))
-        checks.append(F.when(own.isNotNull() & (actual != kinds[kind]), f"$.{name}:type"))
-    return F.array_sort(F.array_compact(F.array(*checks)))

@@ -2,34 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from siftline.operators import sessions
+from siftline.functions import blocks
+from siftline.functions import lexicons as L
+from siftline.operators import normalize, sessions
 from siftline.plans.registry import query, table
-from siftline.sources import jsonl
+from siftline.sources import jsonl, scratch
 from siftline.streaming import windows
 
 
-def _folder(spark) -> str:
-    """A new folder that the driver and executors share; a temporary one only where they are one process."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="siftline-")
-    return f"{base.rstrip('/')}/siftline/stream-{uuid.uuid4().hex}"
-
-
 @query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_window_counts(spark, sf):
     """Hourly counts by type: the last state of every window, those still open too."""
     events = windows.stream_table(spark, f"{sf}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type", "event_id")
-    out, path = windows.windowed_counts(events, "ts", "event_type", "1 hour", "1 hour"), _folder(spark)
+    out, path = windows.windowed_counts(events, "ts", "event_type", "1 hour", "1 hour"), scratch.folder(spark, "stream")
     windows.run_updates(out, f"{path}/out", f"{path}/state")
     done = windows.latest(spark, f"{path}/out", ["start", "event_type"], out.schema)
     return done.withColumn("start", F.col("start").cast("timestamp_ntz"))
@@ -38,7 +26,7 @@ def stream_window_counts(spark, sf):
 @query("SELECT event_id, any_value(user_id) AS user_id FROM events GROUP BY event_id")
 def stream_dedup(spark, sf):
     events = windows.stream_table(spark, f"{sf}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "user_id")
-    out, path = windows.deduplicated(events, "ts", "event_id", "1 hour"), _folder(spark)
+    out, path = windows.deduplicated(events, "ts", "event_id", "1 hour"), scratch.folder(spark, "stream")
     windows.run_available(out, f"{path}/out", f"{path}/state")
     return spark.read.schema(out.schema).parquet(f"{path}/out").select("event_id", "user_id")
 
@@ -49,7 +37,7 @@ e AS (SELECT *, event_type <> 'error' OR coalesce(was, '') = 'error' AS done FRO
 SELECT CAST(e.user_id AS VARCHAR) AS item, CAST(n AS INTEGER) AS attempt, event_type AS outcome, done AS terminal FROM e JOIN s USING (user_id) WHERE stop IS NULL OR n <= stop""")
 def stream_attempt_ledger(spark, sf):
     events = windows.stream_table(spark, f"{sf}/events.parquet").select("event_id", "user_id", "event_type")
-    out, path = windows.attempt_ledger(events, "user_id", "event_id", "event_type", "error"), _folder(spark)
+    out, path = windows.attempt_ledger(events, "user_id", "event_id", "event_type", "error"), scratch.folder(spark, "stream")
     windows.run_available(out, f"{path}/out", f"{path}/state")
     return spark.read.schema(out.schema).parquet(f"{path}/out")
 
@@ -150,3 +138,59 @@ SELECT 'artifact-' || left(sha256('claude' || chr(0) || conv_id || '.jsonl'), 24
   WHERE turn BETWEEN 1 AND 3 AND NOT (turn = 2 AND conv_id % 5 < 2) AND role IN ('user', 'assistant', 'system')""")
 def session_events(spark, sf):
     return sessions.normalized_events(_lines(spark, sf)).select("artifact_id", "ordinal", "role", "strength", F.sha2("text", 256).alias("text_sha256"))
+
+
+_KNOWN_BLOCK = "<<B>>known<<E>>"
+_SPOILT = """
+WITH c AS (SELECT conv_id, conv_id % 10 AS k, count(*) FILTER (trim(text) <> '') AS n, min(turn) FILTER (role = 'system' AND trim(text) <> '') AS sys, bool_or(turn = 1) AS has FROM conversations GROUP BY conv_id),
+o AS (SELECT *, 'artifact-' || left(sha256('claude' || chr(0) || conv_id || '.jsonl'), 24) AS artifact_id, CASE WHEN k = 9 THEN 'source_manifest_resolution_failed' WHEN k = 8 THEN 'malformed_jsonl' WHEN k = 7 THEN 'manifest_source_mismatch'
+  WHEN sys < 1 THEN 'unknown_injected_context' WHEN has AND k = 2 THEN 'unknown_injected_context' WHEN has AND k = 3 THEN 'unresolved_injected_context' WHEN sys = 1 THEN 'unknown_injected_context'
+  WHEN has AND k = 4 THEN 'credential_detected' WHEN has AND k = 5 THEN 'event_too_large' WHEN sys IS NOT NULL THEN 'unknown_injected_context' WHEN has AND k = 6 THEN 'packet_too_large' END AS reason FROM c)
+"""
+
+
+def _normalized(spark, sf):
+    """Conversations as session records, spoilt in their second turn or their manifest by conv_id % 10."""
+    c = table(spark, sf, "conversations")
+    k, conv, second = F.col("conv_id") % 10, F.col("conv_id").cast("string"), F.col("turn") == 1
+    spoil = F.when(k == 1, _KNOWN_BLOCK).when(k == 2, "<<B>>changed<<E>>").when(k == 3, "<<B>>open").when(k == 4, " AKIA" + "ABCDEFGHIJKLMNOP").when(k == 5, F.repeat(F.lit("x y "), 70_000)).when(k == 6, F.repeat(F.lit("x y "), 30_000)).otherwise("")
+    said = F.concat("text", F.when(second, spoil).otherwise(""))
+    stamp = F.concat(F.lit("2024-01-01T00:0"), F.col("turn").cast("string"), F.lit(":00Z"))
+    body = F.to_json(F.struct(F.col("role").alias("type"), stamp.alias("timestamp"), F.concat(F.lit("s"), conv).alias("sessionId"), F.when(F.col("role") == "system", said).alias("content"), F.when(F.col("role") != "system", F.struct(F.col("role").alias("role"), said.alias("content"))).alias("message")))
+    lines = c.select(F.lit("claude").alias("harness"), F.concat(F.lit("/root/chat/"), conv, F.lit(".jsonl")).alias("path"), F.col("turn").cast("long").alias("line_no"), body.alias("raw"), F.octet_length(body).cast("long").alias("bytes"))
+    base = scratch.folder(spark, "normalize")
+    rows = scratch.stored(sessions.records(jsonl.parse_lines(lines), {"claude": "/root/chat"}, _at("2024-01-01T00:00:00Z"), _at("2024-01-02T00:00:00Z")), f"{base}/rows")
+    kind = c.select(sessions.artifact_key(F.lit("claude"), F.concat(F.lit("/root/chat/"), conv, F.lit(".jsonl")), {"claude": "/root/chat"}).alias("artifact_id"), k.alias("k")).distinct()
+    manifest = sessions.artifact_census(rows).select("artifact_id", "harness", "status", "reason", "events", "content_sha256").join(kind, "artifact_id")
+    status, reason = F.when(F.col("k") == 8, "quarantined").otherwise(F.col("status")), F.when(F.col("k") == 8, "malformed_jsonl").otherwise(F.col("reason"))
+    manifest = manifest.select("artifact_id", "harness", status.alias("status"), reason.alias("reason"), F.when(F.col("k") == 7, F.col("events") + 1).otherwise(F.col("events")).alias("events"), "content_sha256")
+    manifest = scratch.stored(manifest, f"{base}/manifest")
+    there = rows.join(kind.filter("k <> 9").select("artifact_id"), "artifact_id", "left_semi")  # what is left of the source when it is read again
+    return normalize.normalize(there, manifest, [blocks.Rule("<<B>>", "<<E>>", frozenset([blocks.fingerprint(_KNOWN_BLOCK)]), frozenset(["claude:user", "claude:assistant"]))])
+
+
+@query(_SPOILT + """
+SELECT artifact_id, CASE WHEN reason IS NULL THEN 'complete' ELSE 'quarantined' END AS status, reason, CASE WHEN reason IS NULL THEN n ELSE 0 END AS events, CAST(CASE WHEN k = 1 AND has AND sys IS NULL THEN 1 ELSE 0 END AS BIGINT) AS excluded_blocks FROM o""")
+def normalization_outcomes(spark, sf):
+    return _normalized(spark, sf).outcomes.select("artifact_id", "status", "reason", "events", "excluded_blocks")
+
+
+@query(_SPOILT + """
+, t AS (SELECT o.*, v.turn, row_number() OVER (PARTITION BY v.conv_id ORDER BY v.turn) AS ordinal FROM o JOIN conversations v USING (conv_id) WHERE k < 7),
+f AS (SELECT *, CASE WHEN reason IN ('packet_too_large') OR reason IS NULL THEN NULL WHEN sys IS NOT NULL AND sys <= 1 THEN sys ELSE 1 END AS stop FROM t)
+SELECT artifact_id, CAST(ordinal AS INTEGER) AS ordinal, CASE WHEN turn = stop THEN 'quarantined' ELSE 'packet' END AS disposition, CASE WHEN turn = stop THEN reason ELSE '?' END AS reason FROM f WHERE stop IS NULL OR turn <= stop""")
+def normalization_coverage(spark, sf):
+    return _normalized(spark, sf).coverage.select("artifact_id", "ordinal", "disposition", "reason")
+
+
+@query(_SPOILT + """
+SELECT count(*) AS artifacts, count(*) FILTER (reason IS NULL) AS complete, CAST(0 AS BIGINT) AS excluded, count(*) FILTER (reason IS NOT NULL) AS quarantined, CAST(0 AS BIGINT) AS failed, CAST(coalesce(sum(n) FILTER (reason IS NULL), 0) AS BIGINT) AS events,
+  count(*) FILTER (k = 1 AND has AND sys IS NULL) AS injected_excluded_blocks, CAST(max(CASE WHEN k = 1 AND has AND sys IS NULL THEN 1 ELSE 0 END) AS INTEGER) AS injected_fingerprints FROM o""")
+def normalization_summary(spark, sf):
+    return normalize.summary(_normalized(spark, sf)).select("artifacts", *L.TERMINAL_STATUSES, "events", "injected_excluded_blocks", "injected_fingerprints")
+
+
+@query(_SPOILT + "SELECT artifact_id, true AS whole FROM o WHERE reason IS NULL")
+def normalization_proof(spark, sf):
+    """Every event of a complete artifact is in one packet, and told once."""
+    return normalize.covered(_normalized(spark, sf))

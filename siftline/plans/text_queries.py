@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siftline.functions import text
+from siftline.functions import schema, text
 from siftline.functions import lexicons as L
 from siftline.operators import probe, review
 from siftline.plans.registry import query, strings, table
@@ -225,11 +225,29 @@ def token_estimate(spark, sf):
     return table(spark, sf, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum(n).alias("bytes"), F.sum(F.floor((n + 2) / 3).cast("long")).alias("tokens"))
 
 
-@query()
+#: A schema with every keyword that is checked.
+EVENT_SCHEMA = {
+    "type": "object", "required": ["id", "kind", "tags", "props"], "additionalProperties": False,
+    "properties": {
+        "id": {"type": "integer", "minimum": 10}, "kind": {"enum": ["click", "view", "purchase", "signup"]}, "version": {"const": "v1"},
+        "tags": {"type": "array", "minItems": 1, "uniqueItems": True, "items": {"type": "string", "pattern": "[a-z]+"}}, "props": {"$ref": "#/$defs/props"},
+    },
+    "$defs": {"props": {"type": "object", "minProperties": 1, "required": ["k"], "properties": {"k": {"type": ["integer", "boolean"]}}}},
+}
+
+
+@query("""
+SELECT event_id, array_to_string(list_filter([CASE WHEN event_id % 8 = 5 THEN '$.tags:required' END, CASE WHEN event_id % 8 = 5 THEN '$.extra:unexpected' END, CASE WHEN event_id < 10 THEN '$.id:minimum' END,
+  CASE WHEN event_type = 'error' THEN '$.kind:enum' END, CASE WHEN event_id % 8 = 1 THEN '$.version:const' END, CASE event_id % 8 WHEN 2 THEN '$.tags:minItems' WHEN 3 THEN '$.tags:uniqueItems' WHEN 4 THEN '$.tags[0]:pattern,$.tags[1]:expected_string' END,
+  CASE event_id % 8 WHEN 6 THEN '$.props:minProperties,$.props.k:required' WHEN 7 THEN '$.props.k:expected_integer|boolean' END], lambda x: x IS NOT NULL), ',') AS errors FROM events""")
 def schema_errors(spark, sf):
-    """Errors of props against a small schema, as sorted lists (tested against a plain validator)."""
-    schema = {"k": ("string", True), "n": ("integer", False)}
-    return table(spark, sf, "events").select("event_id", F.array_join(probe.schema_errors(F.col("props"), schema), ",").alias("errors"))
+    """Events as JSON documents that break a schema in every way, by event_id % 8."""
+    f = F.col("event_id") % 8
+    tags = F.when(f == 2, "[]").when(f == 3, '["a","a"]').when(f == 4, '["A",5]').otherwise('["a","b"]')
+    props = F.when(f == 6, "{}").when(f == 7, '{"k":"x"}').otherwise(F.col("props"))
+    rest = F.when(f == 5, F.lit('"extra":1')).otherwise(F.concat(F.lit('"tags":'), tags))
+    body = F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit(',"kind":"'), F.col("event_type"), F.when(f == 1, '","version":"v2",').otherwise('","version":"v1",'), rest, F.lit(',"props":'), props, F.lit("}"))
+    return table(spark, sf, "events").select("event_id", F.array_join(schema.schema_errors(body, EVENT_SCHEMA), ",").alias("errors"))
 
 
 @query("""
