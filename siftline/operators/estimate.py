@@ -81,3 +81,16 @@ def enforce(row: DataFrame, limits: dict[str, int]) -> None:
 
 def waves(calls: int, concurrency: int, minutes: int) -> int:
     return math.ceil(calls / concurrency) * minutes
+
+
+def combined(stages: DataFrame) -> DataFrame:
+    """One row for stages that run one after the other: sums, the least concurrency, the longest call."""
+    sums = ("input_tokens", "output_tokens", "calls", "wall_minutes", "packet_bytes")
+    return stages.agg(*(F.sum(c).cast("long").alias(c) for c in sums), F.min("concurrency").alias("concurrency"), F.max("per_call_minutes").alias("per_call_minutes"))
+
+
+def observed_minutes(files: DataFrame, start: Column) -> DataFrame:
+    """(seconds, minutes) from a start to the last change of the files (modified): whole, and at least one each."""
+    passed = F.max("modified").cast("double") - F.max(start).cast("double")
+    seconds = F.greatest(F.ceil(passed), F.lit(1)).cast("long")
+    return files.agg(seconds.alias("seconds"), F.count(F.lit(1)).alias("n")).filter("n > 0").select("seconds", F.greatest(F.ceil(F.col("seconds") / 60), F.lit(1)).cast("long").alias("minutes"))

@@ -6,18 +6,64 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siftline.functions import blocks, text
 
 
+#: Characters of an event's text that a probe packet shows.
+SHOWN = 2400
+
+
 def top_events(scored: DataFrame, keys: list[str], k: int) -> DataFrame:
     """The k best rows of each group by score, then id; only positive scores count."""
     w = Window.partitionBy(*keys).orderBy(F.desc("score"), "doc_id")
     return scored.filter("score > 0").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def select_roots(artifacts: DataFrame, k: int = 8, least: int = 8) -> DataFrame:
+    """The k root artifacts without a parent that have the most marketing events, then events; fewer than least are an error."""
+    roots = artifacts.filter("source_kind = 'root' AND parent_artifact_id IS NULL").orderBy(F.desc("marketing_events"), F.desc("events"), "artifact_id").limit(k)
+    if (found := roots.count()) < least:
+        raise ValueError(f"{found} root artifacts, {least} are needed")
+    return roots
+
+
+def refuse_sidechains(records: DataFrame, sidechain: str = "sidechain") -> DataFrame:
+    """records, or an error naming an artifact that holds a sidechain record."""
+    bad = records.filter(F.col(sidechain).eqNullSafe(True)).agg(F.min("artifact_id")).first()[0]
+    if bad is not None:
+        raise ValueError(f"non_root_source:{bad}")
+    return records
+
+
+def record_strength(record: Column) -> Column:
+    """Evidence strength by the shape of a JSON record: a user record is observed only as a verified tool result.
+
+    That is one with a toolUseResult whose message is the user's and holds tool
+    results alone, each with the id of its use.
+    """
+    value = F.try_parse_json(record)
+    kind = F.try_variant_get(value, "$.type", "string")
+    parts = F.try_variant_get(value, "$.message.content", "array<variant>")
+
+    def is_result(part: Column) -> Column:
+        use = F.try_variant_get(part, "$.tool_use_id", "variant")
+        named = (F.schema_of_variant(use) == "STRING") & (F.trim(F.try_variant_get(part, "$.tool_use_id", "string")) != "")
+        return F.coalesce((F.try_variant_get(part, "$.type", "string") == "tool_result") & named, F.lit(False))
+
+    told = F.try_variant_get(value, "$.toolUseResult", "variant").isNotNull() & (F.try_variant_get(value, "$.message.role", "string") == "user")
+    verified = F.coalesce(told & (F.size(parts) > 0) & F.forall(parts, is_result), F.lit(False))
+    return F.when(kind == "user", F.when(verified, "observed").otherwise("asserted")).when(kind == "assistant", "reasoned")
+
+
+def call_batches(items: DataFrame, keys: list[str], order: list[str], n: int = 4) -> DataFrame:
+    """items with batch: n in order to a call, from 0, for each group."""
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return items.withColumn("batch", F.floor((nth - 1) / n).cast("int"))
+
+
 def novelty(candidates: DataFrame, baseline: DataFrame, key: str, least_shared: int = 4, threshold: float = 0.60) -> DataFrame:
     """key, outcome: the first baseline item (by id) that a candidate restates, or novel.
 

@@ -55,6 +55,17 @@ def metric(name: str, numerator: Column, denominator: Column, threshold: float)
     return F.struct(F.lit(name).alias("metric"), numerator.cast("long").alias("numerator"), denominator.cast("long").alias("denominator"), rate.alias("rate"), F.lit(threshold).alias("threshold"), (rate >= threshold).alias("passed"))
 
 
+def validity_metric(outcomes: DataFrame) -> DataFrame:
+    """The gate's extra metric: packets of which the document was rejected as invalid; no row if there are none."""
+    bad = F.count_if(F.col("terminal_status") == "rejected_invalid")
+    return outcomes.agg(F.lit("candidate_document_validity").alias("metric"), bad.alias("invalid_packets"), F.lit(False).alias("passed")).filter("invalid_packets > 0")
+
+
+def terminal_counts(outcomes: DataFrame, *by: str) -> DataFrame:
+    """How many outcomes there are of each status, provider or both."""
+    return outcomes.groupBy(*(F.coalesce(c, F.lit("unknown")).alias(c) for c in by)).agg(F.count(F.lit(1)).alias("outcomes"))
+
+
 def relevant(topic_approved: Column, summary: Column, rationale: Column, marketing=L.PILOT_MARKETING, decision=L.PILOT_DECISION, least: int = 8) -> Column:
     both = F.array_union(text.tokens(summary), text.tokens(rationale))
     return topic_approved & (F.size(text.tokens(summary)) >= least) & (text.shared(both, marketing) > 0) & (text.shared(both, decision) > 0)

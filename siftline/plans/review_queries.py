@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siftline.functions import ids, text
 from siftline.functions import lexicons as L
-from siftline.operators import assignment, estimate, groups, review
+from siftline.operators import assignment, estimate, groups, probe, review
 from siftline.plans.registry import query, table
 
 
@@ -236,3 +236,54 @@ def candidate_flags(spark, sf):
     m, d, h = ("the", "les", "der"), ("that", "dans", "ist"), ("with", "mit")
     c = F.col("text")
     return table(spark, sf, "documents").select("doc_id", review.relevant(F.lit(True), c, c, m, d).alias("relevant"), review.transferable(c, m, d).alias("transferable"), review.harness_only(text.tokens(c), h, m).alias("harness_only"))
+
+
+@query("""
+WITH a AS (SELECT 'u' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS artifact_id, CASE WHEN user_id % 3 = 0 THEN 'child' ELSE 'root' END AS source_kind, CASE WHEN user_id % 5 = 0 THEN 'p' END AS parent, count(*) FILTER (event_type = 'purchase') AS marketing_events, count(*) AS events FROM events GROUP BY user_id)
+SELECT artifact_id, marketing_events, events FROM a WHERE source_kind = 'root' AND parent IS NULL ORDER BY marketing_events DESC, events DESC, artifact_id LIMIT 8""")
+def probe_selection(spark, sf):
+    u = F.col("user_id")
+    e = table(spark, sf, "events").groupBy("user_id").agg(F.count_if(F.col("event_type") == "purchase").alias("marketing_events"), F.count(F.lit(1)).alias("events"))
+    a = e.select(F.concat(F.lit("u"), F.lpad(u.cast("string"), 6, "0")).alias("artifact_id"), F.when(u % 3 == 0, "child").otherwise("root").alias("source_kind"), F.when(u % 5 == 0, "p").alias("parent_artifact_id"), "marketing_events", "events")
+    return probe.select_roots(a, least=1).select("artifact_id", "marketing_events", "events")
+
+
+@query("""
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'reasoned' WHEN event_type = 'error' THEN NULL WHEN event_id % 6 = 0 THEN 'observed' ELSE 'asserted' END AS strength FROM events""")
+def record_strength(spark, sf):
+    """Events as session records: a user's is observed only where every part is a tool result with its id (event_id % 6 = 0)."""
+    k, kind = F.col("event_id") % 6, F.when(F.col("event_type") == "view", "assistant").when(F.col("event_type") == "error", "system").otherwise("user")
+    good = F.lit('{"type":"tool_result","tool_use_id":"t"}')
+    parts = F.when(k == 0, F.concat(good, F.lit(","), good)).when(k == 1, "").when(k == 2, F.concat(good, F.lit(',{"type":"text"}'))).when(k == 3, F.lit('{"type":"tool_result","tool_use_id":" "}')).when(k == 4, F.lit('{"type":"tool_result","tool_use_id":5}')).otherwise(good)
+    rest = F.when(k == 5, "}").otherwise(',"toolUseResult":{}}')
+    body = F.concat(F.lit('{"type":"'), kind, F.lit('","message":{"role":"user","content":['), parts, F.lit("]}"), rest)
+    return table(spark, sf, "events").select("event_id", probe.record_strength(body).alias("strength"))
+
+
+@query("SELECT source, doc_id, CAST((row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 4 AS INTEGER) AS batch, sha256(left(text, 2400)) AS shown FROM documents")
+def call_batches(spark, sf):
+    """Four documents to a call, each text as far as a probe shows it."""
+    d = table(spark, sf, "documents").select("source", "doc_id", F.sha2(F.substring("text", 1, probe.SHOWN), 256).alias("shown"))
+    return probe.call_batches(d, ["source"], ["doc_id"])
+
+
+@query("""
+WITH s AS (SELECT l_returnflag, sum(l_orderkey) AS b, count(*) AS n FROM lineitem GROUP BY l_returnflag),
+e AS (SELECT (b + 2) // 3 + n * 800 AS base, n, b, CASE l_returnflag WHEN 'A' THEN 4 ELSE 2 END AS concurrency, CASE l_returnflag WHEN 'A' THEN 7 ELSE 20 END AS minutes FROM s)
+SELECT CAST(sum(base + ceil(base * 0.2)) AS BIGINT) AS input_tokens, CAST(sum(n * 5000) AS BIGINT) AS output_tokens, CAST(sum(n) AS BIGINT) AS calls, CAST(sum(((n + 1) // 2) * 20) AS BIGINT) AS wall_minutes, CAST(sum(b) AS BIGINT) AS packet_bytes, min(concurrency) AS concurrency, max(minutes) AS per_call_minutes FROM e""")
+def combined_estimate(spark, sf):
+    s = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(F.sum("l_orderkey").alias("packet_bytes"), F.count(F.lit(1)).alias("n"))
+    costs = estimate.call_costs(F.col("packet_bytes"), F.col("n"))
+    first = F.col("l_returnflag") == "A"
+    stages = s.select("packet_bytes", *(c.alias(n) for n, c in costs.items()), F.when(first, 4).otherwise(2).alias("concurrency"), F.when(first, 7).otherwise(20).alias("per_call_minutes"))
+    return estimate.combined(stages)
+
+
+@query("SELECT o_orderstatus, coalesce(o_orderpriority, 'unknown') AS o_orderpriority, count(*) AS outcomes FROM orders GROUP BY 1, 2")
+def terminal_counts(spark, sf):
+    return review.terminal_counts(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
+
+
+@query("SELECT 'candidate_document_validity' AS metric, count(*) AS invalid_packets, false AS passed FROM labels WHERE quality = 0 HAVING count(*) > 0")
+def validity_metric(spark, sf):
+    return review.validity_metric(table(spark, sf, "labels").select(F.when(F.col("quality") == 0, "rejected_invalid").otherwise("extracted").alias("terminal_status")))

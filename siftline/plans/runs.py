@@ -33,11 +33,15 @@ def affine(release: dict) -> bool:
     return (release.get("provider"), release.get("account")) == {"claude": ("anthropic", "authenticated-claude"), "codex": ("openai", "authenticated-codex")}.get(release.get("harness"))
 
 
-def decide(candidates: DataFrame, baseline: DataFrame, pointers: DataFrame, marketing=L.PROBE_MARKETING, harness=L.PROBE_HARNESS) -> DataFrame:
+def decide(candidates: DataFrame, baseline: DataFrame, pointers: DataFrame | None, marketing=L.PROBE_MARKETING, harness=L.PROBE_HARNESS) -> DataFrame:
     """id, reason of each candidate: the first check that fails, or accepted.
 
-    pointers is (pointer, strength) of the sample's packets.
+    pointers is (pointer, strength) of the sample's packets; without it nothing
+    is resolved, and no claim from data can be accepted.
     """
+    blind = pointers is None
+    if blind:
+        pointers = candidates.sparkSession.createDataFrame([], "pointer string, strength string")
     rows = candidates.withColumn("tokens", text.semantic_tokens(F.concat_ws(" ", "content", "decision"))).withColumn("own", text.semantic_tokens(F.col("content")))
     fresh = probe.novelty(rows.select("id", F.col("own").alias("tokens")), baseline.select("id", text.semantic_tokens(F.col("text")).alias("tokens")), "id")
     cited = rows.select("id", F.explode_outer("evidence").alias("pointer")).join(pointers, "pointer", "left").groupBy("id").agg(
@@ -51,9 +55,9 @@ def decide(candidates: DataFrame, baseline: DataFrame, pointers: DataFrame, mark
     unsafe = (F.size(text.credential_ids(body)) > 0) | text.has_markup(body)
     own = text.shared(F.col("tokens"), marketing)
     checks = [
-        (unsafe, "unsafe_candidate"), (missing, "missing_required_field"), (~F.col("label").isin(*L.CLAIM_LABELS), "invalid_claim_label"), (~F.col("formed"), "invalid_evidence"), (~F.col("resolved"), "unresolvable_evidence"),
+        (unsafe, "unsafe_candidate"), (missing, "missing_required_field"), (~F.col("label").isin(*L.CLAIM_LABELS), "invalid_claim_label"), (~F.col("formed"), "invalid_evidence"), (~F.col("resolved") & F.lit(not blind), "unresolvable_evidence"),
         ((text.shared(F.col("tokens"), harness) > 0) & (own == 0), "harness_only"), (own == 0, "not_marketing"), (F.trim("decision") == "", "no_marketing_decision"), (F.col("outcome") != "novel", F.col("outcome")),
-        ((F.col("label") == "[DATA]") & ~F.col("observed"), "data_evidence_not_observed"),
+        ((F.col("label") == "[DATA]") & F.lit(blind), "data_evidence_strength_unavailable"), ((F.col("label") == "[DATA]") & ~F.col("observed"), "data_evidence_not_observed"),
     ]
     return all_.select("id", review.first_reason(checks).alias("reason"))
 

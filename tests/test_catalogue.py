@@ -5,6 +5,8 @@ from conftest import SF, same
 
 from siftline.plans import catalogue
 
+#: Tested in test_brute.
+BRUTE = {"redacted_packets", "compact_packets", "pilot_assignment", "redact_full", "redact_phone", "high_entropy_secret", "injected_blocks"}
 QUERIES, ORACLES = catalogue.queries(), catalogue.oracle_sql()
 
 
@@ -14,7 +16,7 @@ def test_query(spark, duck, name):
     if name in ORACLES:
         same(df, duck, ORACLES[name])
     else:
-        assert df.count() >= 0
+        assert name in BRUTE, "a query without SQL needs a test in plain Python"
 
 
 def test_entry(spark):
