@@ -15,47 +15,55 @@ from pyspark.sql import functions as F
 
 from siftline.functions import lexicons as L
 from siftline.operators import assignment, estimate, packets, review, sessions
-from siftline.sources import jsonl, sinks
+from siftline.operators import normalize as normal
+from siftline.sources import jsonl, scratch, sinks
 
 
 def session() -> SparkSession:
     return SparkSession.builder.appName("siftline").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
-def _rows(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+def _rows(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, jsonl.Discovery, dict[str, str]]:
     roots = {h: r for h, r in (("codex", args.codex), ("claude", args.claude)) if r}
     found = jsonl.discover(roots)
-    if found.refused:
-        print(json.dumps({"refused": [[h, reason] for h, _, reason in found.refused]}), file=sys.stderr)
+    if found.refused or found.unreadable:
+        print(json.dumps({"refused": [[h, reason] for h, _, reason in found.refused], "unreadable_folders": found.unreadable}), file=sys.stderr)
     kept: dict[str, list[str]] = {}
     for harness, path in found.files:
         kept.setdefault(harness, []).append(path)
     lines = jsonl.read_lines(spark, kept)
     at = lambda v: F.lit(v).cast("timestamp")
-    return sessions.records(lines, roots, at(args.start), at(args.cutoff))
+    rows = scratch.stored(sessions.records(lines, roots, at(args.start), at(args.cutoff)), f"{scratch.folder(spark, 'rows')}")
+    return rows, found, roots
+
+
+def _manifest(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
+    """(rows, census): every file found is accounted for, with what changed while it was read."""
+    rows, found, roots = _rows(spark, args)
+    listed = found.artifacts(spark, found.changes())
+    artifacts = listed.select(sessions.artifact_key(F.col("harness"), F.col("path"), roots).alias("artifact_id"), "harness", "fault")
+    return rows, scratch.stored(sessions.artifact_census(rows, artifacts), scratch.folder(spark, "census"))
 
 
 def census(spark: SparkSession, args: argparse.Namespace) -> int:
-    manifest = sessions.artifact_census(_rows(spark, args))
+    _, manifest = _manifest(spark, args)
     summary = manifest.groupBy("harness", "status").agg(F.count(F.lit(1)).alias("artifacts"), F.sum("events").alias("events"), F.sum("canonical_bytes").alias("bytes"))
     coverage = manifest.select("artifact_id", "harness", "status", "reason", (F.col("events") > 0).alias("in_window"))
     sinks.write_run({"manifest": manifest, "coverage": coverage, "summary": summary}, args.out)
     if args.twice:  # determinism: another scan gives the same hashes
         digest = lambda df: df.agg(F.bit_xor(F.xxhash64("artifact_id", "content_sha256", "status"))).first()[0]
-        if digest(sessions.artifact_census(_rows(spark, args))) != digest(spark.read.parquet(f"{args.out}/manifest")):
+        if digest(_manifest(spark, args)[1]) != digest(spark.read.parquet(f"{args.out}/manifest")):
             print("the scans differ", file=sys.stderr)
             return 2
     return 0
 
 
 def normalize(spark: SparkSession, args: argparse.Namespace) -> int:
-    rows = _rows(spark, args)
-    complete = sessions.artifact_census(rows).filter("status = 'complete'").select("artifact_id", "harness")
-    events = sessions.normalized_events(rows.join(complete.select("artifact_id"), "artifact_id", "left_semi")).join(complete, "artifact_id")
-    checked = packets.checked_events(events)
-    built = packets.build_packets(checked)
-    sinks.write_run({"packets": built, "outcomes": packets.artifact_outcomes(checked), "coverage": packets.event_coverage(checked, built)}, args.out)
-    return 2 if packets.unsafe_packets(spark.read.parquet(f"{args.out}/packets")).limit(1).count() else 0
+    rows, manifest = _manifest(spark, args)
+    done = normal.normalize(rows, manifest)
+    sinks.write_run({"packets": done.packets, "outcomes": done.outcomes, "coverage": done.coverage, "summary": normal.summary(done), "reasons": normal.reasons(done)}, args.out)
+    broken = normal.covered(done).filter("NOT whole").limit(1).count()
+    return 2 if broken or packets.unsafe_packets(spark.read.parquet(f"{args.out}/packets")).limit(1).count() else 0
 
 
 def groups(spark: SparkSession, args: argparse.Namespace) -> int:

@@ -86,3 +86,43 @@ def test_discovery(tmp_path):
     with pytest.raises(ValueError):
         os.symlink(root, tmp_path / "rl")
         jsonl.discover({"h": str(tmp_path / "rl")})
+
+
+def test_every_file_is_accounted_for(spark, tmp_path):
+    """Empty, refused and changed files have their rows; ids, parents and late records of all kinds count."""
+    root = tmp_path / "claude"
+    at = "2026-08-18T13:00:0{}Z".format
+    say = lambda k, **x: {"type": "user", "timestamp": at(k), "sessionId": "s1", **x}
+    write(root / "a.jsonl", [say(1, parentUuid="p", session_id="s9"), say(2, payload={"parent_uuid": "q", "forkedFrom": 7}), {**say(3, sessionId="late"), "timestamp": CUTOFF}, {**say(4), "timestamp": "1700000000"}, {**say(5), "timestamp": True}])
+    (root / "empty.jsonl").write_text("")
+    (root / "big.jsonl").write_text('{"type": "user", "x": "' + "y" * (2 * 1024 * 1024) + '"}\n' + json.dumps(say(1)) + "\n")
+    os.symlink(root / "a.jsonl", root / "link.jsonl")
+    roots = {"claude": str(root)}
+    found = jsonl.discover(roots)
+    rows = sessions.records(jsonl.read_lines(spark, {"claude": [p for _, p in found.files]}), roots, F.lit(START).cast("timestamp"), F.lit(CUTOFF).cast("timestamp")).cache()
+    assert found.changes() == {}
+    with open(root / "empty.jsonl", "a") as f:
+        f.write("\n")
+    changed = found.changes()
+    assert list(changed.values()) == ["source_changed_during_read"]
+    listed = found.artifacts(spark, changed).select(sessions.artifact_key(F.col("harness"), F.col("path"), roots).alias("artifact_id"), "harness", "fault")
+    key = lambda n: "artifact-" + hashlib.sha256(f"claude\0{n}.jsonl".encode()).hexdigest()[:24]
+    got = {r.artifact_id: r for r in sessions.artifact_census(rows, listed).collect()}
+    assert set(got) == {key(n) for n in ("a", "empty", "big", "link")}
+    assert [(got[key(n)].status, got[key(n)].reason) for n in ("empty", "big", "link")] == [("quarantined", "source_changed_during_read"), ("quarantined", "record_too_large"), ("quarantined", "symlink_rejected")]
+    a = got[key("a")]
+    assert (a.status, a.events, a.invalid_timestamps, a.supplemental_ids, a.post_cutoff_conflicts, a.parent_ref, a.session_id) == ("complete", 2, 2, 1, 1, "?", "s1")
+    assert got[key("big")].oversized_lines == 1 and got[key("empty")].total_lines == 0
+
+
+def test_line_numbers_of_split_files(spark, tmp_path):
+    """Lines of files read in many blocks are numbered as in the file."""
+    n = 4000
+    write(tmp_path / "r" / "x.jsonl", [{"k": i} for i in range(n)])
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = {r.line_no: json.loads(r.canonical)["k"] for r in jsonl.read_lines(spark, {"claude": str(tmp_path / "r")}).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert got == {i: i for i in range(n)}
