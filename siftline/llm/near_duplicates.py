@@ -312,25 +312,28 @@ def _blocks(classes: DataFrame, base: str) -> DataFrame:
 
     keyed = work.stored(classes.select("node", "size", "sig").mapInArrow(bands, "key long, band int, node long, size long"), f"{base}/bands")
     sums = [F.count(F.lit(1)).alias("n"), F.sum("size").alias("bulk")]
-    buckets = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last"), *sums).filter("lead != last").drop("last")
-    buckets = work.stored(buckets, f"{base}/buckets")
-    ties = by_node(keyed.select("key", "node"), buckets.select("key", "lead"), "key").filter("node != lead")
+    leaders = keyed.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead != last").drop("last")
+    ties = by_node(keyed.select("key", "node"), leaders, "key").filter("node != lead")
     comps = work.stored(connected(ties.select(F.col("lead").alias("a"), F.col("node").alias("b")), f"{base}/ties"), f"{base}/comps")
 
-    inside = comps.join(classes.select("node", "size"), "node")
-    sizes = work.stored(inside.groupBy("comp").agg(*sums), f"{base}/sizes")
-    whole = by_node(comps, sizes, "comp")
-    if sizes.filter(F.col("n") > BLOCK).limit(1).count():
-        # pairs that a component would compare, against those that its bands would
+    sizes = work.stored(comps.join(classes.select("node", "size"), "node").groupBy("comp").agg(*sums), f"{base}/sizes")
+    wide = sizes.filter(F.col("n") > BLOCK)
+    if wide.limit(1).count():
+        # pairs that a large component would compare, against those that its bands would
+        few = work.stored(by_node(comps, wide.select("comp"), "comp"), f"{base}/few")  # its size decides how the join below is done
+        inside = work.stored(keyed.join(few, "node"), f"{base}/inside")
+        buckets = inside.groupBy("comp", "key").agg(*sums).filter("n > 1")
+        buckets = work.stored(buckets, f"{base}/buckets")
         pairs = lambda: F.col("n").cast("double") * F.col("n")
-        in_bands = buckets.join(comps.withColumnRenamed("node", "lead"), "lead").groupBy("comp").agg(F.sum(pairs()).alias("in_bands"))
-        sizes = work.stored(sizes.join(in_bands, "comp").withColumn("chained", (F.col("n") > BLOCK) & (F.col("in_bands") < pairs())).drop("in_bands"), f"{base}/kinds")
-        whole = by_node(comps, sizes, "comp").drop("lead")
-        loose = whole.filter("chained").select("node")
-        apart = by_node(keyed.join(loose, "node").select("key", "band", "node"), buckets.select("key", "n", "bulk"), "key")
-        whole = whole.filter("not chained").drop("chained").withColumn("band", F.lit(-1)).unionByName(apart.withColumnRenamed("key", "comp"))
+        in_bands = buckets.groupBy("comp").agg(F.sum(pairs()).alias("in_bands"))
+        kinds = sizes.join(in_bands, "comp", "left").withColumn("chained", F.coalesce(F.col("in_bands") < pairs(), F.lit(False))).drop("in_bands")
+        kinds = work.stored(kinds, f"{base}/kinds")
+        whole = by_node(comps, kinds.filter("not chained").drop("chained"), "comp").withColumn("band", F.lit(-1))
+        loose = buckets.join(kinds.filter("chained").select("comp"), "comp", "left_semi").drop("comp")
+        apart = by_node(inside.select("key", "band", "node"), loose, "key")
+        whole = whole.unionByName(apart.withColumnRenamed("key", "comp"))
     else:
-        whole = whole.withColumn("band", F.lit(-1))
+        whole = by_node(comps, sizes, "comp").withColumn("band", F.lit(-1))
     # blocks of at most about BLOCK classes and BLOCK_BYTES of shingles
     parts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("bulk") * 8 / BLOCK_BYTES)).cast("long")
     placed = whole.withColumn("parts", F.greatest(parts, F.lit(1)).cast("long")).withColumn("slot", F.pmod(F.xxhash64("node", "comp"), F.col("parts")))
