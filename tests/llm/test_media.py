@@ -198,3 +198,51 @@ def test_media_table(spark):
         assert r.feature == media.tensor_feature(np.frombuffer(r.rgb, np.uint8).reshape(r.height, r.width, 3))
     assert len({(r.media_sha256, r.feature) for r in got if texts[r.doc_id] == "hello"}) == 1
     assert media.decode_media(media.store_media(df.limit(0), work.folder(spark, "m"))).count() == 0
+
+
+def test_query(spark):
+    """Every document of the table: payload and stored form against the texts and the files themselves."""
+    import hashlib
+
+    from conftest import SF
+
+    from siftline.llm import queries
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    stored = {r.doc_id: bytes(r.media) for r in media.store_media(docs, work.folder(spark, "m")).collect()}
+    got = queries.op4_progressive_jpeg(spark, SF).collect()
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        body = (texts[r.doc_id] or "").encode()
+        payload, raw = body.ljust(max(64, -(-len(body) // 64) * 64), b"\0"), stored[r.doc_id]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(body), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert (r.media_bytes, r.media_sha256) == (len(raw), hashlib.sha256(raw).hexdigest()) and raw[:2] == b"\xff\xd8" and raw[-2:] == b"\xff\xd9" and b"\xff\xc2" in raw
+    for r in sorted(got, key=lambda r: r.n_bytes)[:3]:
+        own, mine = media.tensor_feature(plain_rgb(stored[r.doc_id])).split("|"), r.feature.split("|")
+        assert own[0] == mine[0]
+        for x, y in zip(own[1:], mine[1:]):
+            assert all(abs(int(i) - int(j)) <= 1000 for i, j in zip(x.split(","), y.split(",")))  # a step of one sample, in thousandths
+
+
+def plain_rgb(raw):
+    """The image pixel by pixel: cosine sums in doubles, nearest chroma, the colour matrix."""
+    image = pj.decode(raw)
+    hm, vm = max(c.h for c in image.comps), max(c.v for c in image.comps)
+
+    def sample(c, y, x):
+        block = c.coefs[(y // 8) * c.wide + x // 8] * image.quants[c.quant]
+        total = 0.0
+        for k in range(64):
+            if block[k]:
+                u, v = divmod(int(pj.ZIGZAG[k]), 8)
+                total += block[k] * (math.sqrt(0.5) if u == 0 else 1) * (math.sqrt(0.5) if v == 0 else 1) / 4 * math.cos((2 * (y % 8) + 1) * u * math.pi / 16) * math.cos((2 * (x % 8) + 1) * v * math.pi / 16)
+        return total
+
+    out = np.zeros((image.height, image.width, 3), np.uint8)
+    for y in range(image.height):
+        for x in range(image.width):
+            v = [sample(c, y * c.v // vm, x * c.h // hm) for c in image.comps]
+            r, g, b = (v[0] + 1.402 * v[2], v[0] - 0.344136 * v[1] - 0.714136 * v[2], v[0] + 1.772 * v[1]) if len(v) == 3 else v[:1] * 3
+            out[y, x] = np.clip(np.rint(np.array([r, g, b]) + 128), 0, 255)
+    return out
