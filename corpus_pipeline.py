@@ -2,6 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept; each result is written as Parquet and read again as the next one's docs.
+
+Defined cases: a null text counts as empty; texts without words are copies of
+nothing, and no mix takes them; a null doc_id is a document like others, last
+among copies; one id on several texts is several documents; of repeated rows
+one stays; a null source is a source of its own; other columns stay as they
+are up to the last stage; empty tables give no sequences.
 """
 
 from __future__ import annotations
