@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from siftline.functions import lexicons as L
+
 #: Stands for an unknown value wherever identities are hashed.
 UNKNOWN = "?"
 SEPARATOR = "\0"
@@ -40,6 +42,11 @@ def evidence_uri(harness: Column, artifact: Column, version: Column, event: Colu
 EVIDENCE_PATTERN = r"^session://([a-z0-9_-]+)/([a-z0-9_-]+)@([A-Za-z0-9._-]+)#event=([A-Za-z0-9._-]+)$"
 
 
+def well_formed(uri: Column, grammar: str) -> Column:
+    """Whether a URI follows the grammar of the probe, of review or of candidate documents; null does not."""
+    return F.coalesce(F.regexp_like(uri, F.lit(L.EVIDENCE_GRAMMARS[grammar])), F.lit(False))
+
+
 def parse_uri(uri: Column) -> dict[str, Column]:
     """Harness, artifact, version and event of an evidence URI; empty where it is none."""
     return {name: F.regexp_extract(uri, EVIDENCE_PATTERN, k) for k, name in enumerate(("harness", "artifact", "version", "event"), 1)}

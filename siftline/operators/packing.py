@@ -44,6 +44,23 @@ def greedy(df: DataFrame, keys: list[str], order: list[str], size: Column, limit
     return rows.mapInArrow(walk, schema)
 
 
+def reserved_batches(items: DataFrame, harness: str, order: list[str], payload: str, cap: int, reserve: int, carry: list[str] | None = None) -> DataFrame:
+    """Call batches by harness whose list of payloads, as JSON, leaves the reserve for prompt and calibration free.
+
+    An item that does not fit closes the open batch and starts the next without
+    being measured alone; only a harness whose first item is too large is an error.
+    """
+    room = cap - reserve
+    if room <= 0:
+        raise ValueError("prompt and calibration leave no room")
+    frame = len('{"work_items":[]}') - 1  # the last item has no comma
+    packed = greedy(items, [harness], order, F.octet_length(payload) + 1, room - frame, carry)
+    first = packed.groupBy(harness).agg(F.min_by("overflow", F.struct(*order)).alias("over")).filter("over")
+    if (bad := first.first()) is not None:
+        raise ValueError(f"the first item of {bad[0]} exceeds the cap")
+    return packed.withColumnRenamed("packet", "batch")
+
+
 def prefix_that_fits(df: DataFrame, keys: list[str], order: list[str], size: Column, limit: int) -> DataFrame:
     """The longest prefix of each ordered group whose sizes sum to at most the limit."""
     running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -1,14 +1,19 @@
 """The seam to an outside model: release gate, batches, results, failures.
 
 The runner is any callable over a batch's payloads; nothing here calls a
-service.  Batches that have results are skipped, so a rerun does only the rest.
+service.  Batches that have results are skipped, so a rerun does only the rest, and
+answers can be kept as they come, so that a task that runs again does not call again.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,28 +76,45 @@ def attempts(failures: DataFrame, item: str, order: str, failure: str) -> DataFr
     return rows.withColumn("status", F.when(F.col("repeat"), "failed").otherwise("retrying")).drop("repeat")
 
 
-def run_batches(items: DataFrame, runner: Runner, done: DataFrame | None = None) -> DataFrame:
+def _kept(store: str, batch: str) -> tuple[pafs.FileSystem, str]:
+    fs, folder = pafs.FileSystem.from_uri(store if "://" in store else "file://" + store.removeprefix("file:"))
+    fs.create_dir(folder, recursive=True)
+    return fs, f"{folder}/{hashlib.sha256(batch.encode()).hexdigest()[:32]}.json"
+
+
+def run_batches(items: DataFrame, runner: Runner, done: DataFrame | None = None, store: str | None = None) -> DataFrame:
     """items (batch_id, work_item_id, payload) to (batch_id, work_item_id, status, result).
 
     Each batch is one call with its payloads in order of work item; batches in
     done are skipped.  An answer of another length, or an error, ends the batch
-    as failed with a safe code.
+    as failed with a safe code.  With store, a folder that executors share, an
+    answer is kept there under its batch before anything else happens, so that a
+    task that runs again does not call again.
     """
     if done is not None:
         items = items.join(done.select("batch_id").distinct(), "batch_id", "left_anti")
 
-    def call(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("work_item_id")
+    def ask(payloads: list[str]) -> tuple[str, list[str]]:
         try:
-            answers = list(runner(list(pdf["payload"])))
-            status = "complete" if len(answers) == len(pdf) else "failed"
+            answers = list(runner(payloads))
         except Exception as e:  # the seam: whatever a provider raises ends this batch only
-            answers, status = [], "failed"
-            reason = "".join(c for c in type(e).__name__ if c.isalnum())[:80]
+            return "failed", ["".join(c for c in type(e).__name__ if c.isalnum())[:80]] * len(payloads)
+        return ("complete", answers) if len(answers) == len(payloads) else ("failed", ["coverage_mismatch"] * len(payloads))
+
+    def call(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("work_item_id")
+        payloads = list(pdf["payload"])
+        if store is None:
+            status, answers = ask(payloads)
         else:
-            reason = "coverage_mismatch"
-        if status == "failed":
-            answers = [reason] * len(pdf)
+            fs, path = _kept(store, str(pdf["batch_id"].iloc[0]))
+            if fs.get_file_info(path).type == pafs.FileType.NotFound:
+                own = f"{path}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(own) as out:
+                    out.write(json.dumps(ask(payloads)).encode())
+                fs.move(own, path)
+            with fs.open_input_stream(path) as kept:
+                status, answers = json.loads(kept.read())
         return pdf[["batch_id", "work_item_id"]].assign(status=status, result=answers)
 
     return items.select("batch_id", "work_item_id", "payload").groupBy("batch_id").applyInPandas(call, "batch_id string, work_item_id string, status string, result string")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from siftline.functions import ids, text
+from siftline.functions import lexicons as L
 from siftline.operators import packing, review
 from siftline.plans.registry import query, table
 
@@ -152,3 +153,25 @@ def evidence_validation(spark, sf):
 @query("SELECT conv_id, turn, sha256(trim(regexp_replace(text, '\\s+', ' ', 'g'))) AS fingerprint FROM conversations")
 def turn_fingerprints(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", text.fingerprint(F.col("text")).alias("fingerprint"))
+
+
+@query("""
+WITH u AS (SELECT conv_id, turn, CASE turn % 4 WHEN 0 THEN 'session://claude/artifact-' || left(sha256(text), 24) || '@' || sha256(role) || '#event=event-' || left(sha256(text), 24) WHEN 1 THEN 'session://codex/a b@' || sha256(role) || '#event=x' WHEN 2 THEN 'session://chat/c' || conv_id || '@v1#event=t' || turn ELSE 'session:/' || conv_id END AS uri FROM conversations)
+SELECT conv_id, turn, """ + ", ".join(f"regexp_matches(uri, '{p}') AS {n}" for n, p in L.EVIDENCE_GRAMMARS.items()) + " FROM u")
+def evidence_grammars(spark, sf):
+    """Which of the three grammars each URI follows."""
+    t, text_hash, role_hash, conv = F.col("turn"), F.substring(F.sha2("text", 256), 1, 24), F.sha2("role", 256), F.col("conv_id").cast("string")
+    whole = F.concat(F.lit("session://claude/artifact-"), text_hash, F.lit("@"), role_hash, F.lit("#event=event-"), text_hash)
+    uri = F.when(t % 4 == 0, whole).when(t % 4 == 1, F.concat(F.lit("session://codex/a b@"), role_hash, F.lit("#event=x"))).when(t % 4 == 2, F.concat(F.lit("session://chat/c"), conv, F.lit("@v1#event=t"), t.cast("string"))).otherwise(F.concat(F.lit("session:/"), conv))
+    return table(spark, sf, "conversations").select("conv_id", "turn", *(ids.well_formed(uri, n).alias(n) for n in L.EVIDENCE_GRAMMARS))
+
+
+@query("""
+WITH RECURSIVE r AS (SELECT lang, doc_id, octet_length(encode(left(text, 2000))) + 1 AS b, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS n FROM documents),
+p AS (SELECT lang, doc_id, b, n, 1 AS batch, CAST(b AS BIGINT) AS used FROM r WHERE n = 1
+  UNION ALL SELECT r.lang, r.doc_id, r.b, r.n, CASE WHEN p.used + r.b > 61984 THEN p.batch + 1 ELSE p.batch END, CASE WHEN p.used + r.b > 61984 THEN r.b ELSE p.used + r.b END FROM p JOIN r ON r.lang = p.lang AND r.n = p.n + 1)
+SELECT lang, doc_id, batch FROM p""")
+def reserved_batches(spark, sf):
+    """Batches of 64,000 bytes by language, 2,000 of them kept for prompt and calibration."""
+    d = table(spark, sf, "documents").select("lang", "doc_id", F.substring("text", 1, 2000).alias("payload"))
+    return packing.reserved_batches(d, "lang", ["doc_id"], "payload", 64_000, 2_000).select("lang", "doc_id", "batch")

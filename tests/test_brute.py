@@ -151,3 +151,33 @@ def test_novelty_ranks_ids_as_text(spark):
     assert {r.k: r.outcome for r in probe.novelty(c, b, "k").collect()} == {"c": "semantic_baseline_match:10", "d": "semantic_baseline_match:10", "e": "novel"}
     rest = {r.k: r.outcome for r in probe.novelty(c, b.filter("id <> '10'"), "k").collect()}
     assert rest == {"c": "exact_baseline_match:aa", "d": "semantic_baseline_match:aa", "e": "novel"}
+
+
+def test_batches_with_a_reserve(spark):
+    from siftline.operators import packing
+
+    rows = [("a", k, "x" * n) for k, n in enumerate([10, 10, 100, 5, 5])]
+    df = spark.createDataFrame(rows, "h string, k int, p string")
+    got = {r.k: r.batch for r in packing.reserved_batches(df, "h", ["k"], "p", 60, 10).collect()}
+    assert got == {0: 1, 1: 1, 2: 2, 3: 3, 4: 3}  # the third is too large, and not measured alone
+    for bad in (df.filter("k >= 2"), None):
+        with pytest.raises(ValueError):
+            packing.reserved_batches(bad if bad is not None else df, "h", ["k"], "p", 60, 10 if bad is not None else 60)
+
+
+def test_an_answer_is_kept_before_anything_else(spark, tmp_path):
+    from siftline.operators import provider
+
+    items = spark.createDataFrame([("b1", "w1", "p"), ("b1", "w2", "q"), ("b2", "w3", "r")], "batch_id string, work_item_id string, payload string")
+    calls = str(tmp_path / "calls")
+
+    def runner(payloads):
+        with open(calls, "a") as f:
+            f.write("x")
+        return [p.upper() for p in payloads]
+
+    store = f"file://{tmp_path}/answers"
+    want = [("w1", "complete", "P"), ("w2", "complete", "Q"), ("w3", "complete", "R")]
+    for _ in range(2):
+        assert sorted((r.work_item_id, r.status, r.result) for r in provider.run_batches(items, runner, store=store).collect()) == want
+    assert open(calls).read() == "xx"
