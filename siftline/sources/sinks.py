@@ -65,9 +65,22 @@ def append_terminal(results: DataFrame, path: str, key: str, statuses: Iterable[
 
 
 def write_run(tables: dict[str, DataFrame], path: str) -> None:
-    """The tables of a run below one path; an existing run is never overwritten."""
-    for name, df in tables.items():
+    """The tables of a run below one path, and a receipt; an existing run is never overwritten.
+
+    The receipt has a row a table: its rows, and a digest of what was written
+    that does not depend on their order.  It is written last, so a run without
+    one is not whole.
+    """
+    receipt = None
+    for name, df in sorted(tables.items()):
         df.write.mode("errorifexists").parquet(f"{path}/{name}")
+        kept = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{name}")
+        body = F.to_json(F.struct(*(F.col(f"`{c}`") for c in sorted(kept.columns))))
+        digest = F.sha2(F.concat_ws(":", F.coalesce(F.bit_xor(F.xxhash64(body)), F.lit(0)), F.coalesce(F.sum(F.crc32(body.cast("binary"))), F.lit(0)), F.count(F.lit(1))), 256)
+        own = kept.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("rows"), digest.alias("digest"))
+        receipt = own if receipt is None else receipt.unionByName(own)
+    if receipt is not None:
+        receipt.coalesce(1).write.mode("errorifexists").json(f"{path}/receipt")
 
 
 def private_folder(path: str) -> str:

@@ -16,6 +16,8 @@ def test_census_to_groups(spark, tmp_path):
     assert cli.main(["census", *window, "--out", out("census"), "--twice"], spark) == 0
     assert {r.status for r in spark.read.parquet(out("census") + "/manifest").collect()} == {"complete"}
     assert cli.main(["normalize", *window, "--out", out("packets")], spark) == 0
+    receipt = {r.table: (r.rows, r.digest) for r in spark.read.json(out("packets") + "/receipt").collect()}
+    assert set(receipt) == {"packets", "outcomes", "coverage", "summary", "reasons"} and receipt["packets"][0] == 3 and receipt["reasons"][0] == 0
     assert spark.read.parquet(out("packets") + "/packets").count() == 3
     assert spark.read.parquet(out("packets") + "/coverage").filter("disposition = 'packet'").count() == 12
     assert cli.main(["groups", "--census", out("census"), "--packets", out("packets"), "--out", out("groups")], spark) == 0
