@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from siftline.functions import ids
 from siftline.functions import lexicons as L
 from siftline.operators import census
+from siftline.sources import scratch
 
 
 def artifact_key(harness: Column, path: Column, roots: dict[str, str]) -> Column:
@@ -136,6 +137,7 @@ def artifact_census(rows: DataFrame, artifacts: DataFrame | None = None) -> Data
     shape, provenance = census.execution_shape(F.col("entry"), F.col("kind"), F.col("directory"))
     out = out.withColumn("shape", shape).withColumn("shape_provenance", provenance).withColumn("source_kind", census.source_kind(F.col("parent_ref"), F.col("sidechain")))
     out = out.withColumn("status", status).withColumn("reason", F.coalesce(fault, reason)).withColumn("content_sha256", F.coalesce("content_sha256", F.lit(ids.UNKNOWN)))
+    out = scratch.stored(out, scratch.folder(rows.sparkSession, "artifacts"))  # children and parents are both of it
     parents = census.resolve_parents(out.select("artifact_id", "parent_ref"), out.filter(F.col("session_id") != ids.UNKNOWN).select("session_id", F.col("artifact_id").alias("p_id")), "parent_ref", "session_id", "p_id")
     anchor = F.when(F.col("container_id") != ids.UNKNOWN, F.col("container_id")).when(F.col("session_id") != ids.UNKNOWN, F.col("session_id")).otherwise(F.col("parent_ref"))
     unknown = {n: F.lit(ids.UNKNOWN) for n in ("prompt_hash", "input_hash", "code_version", "configuration_version", "source_dataset", "injected_context_fingerprint")}

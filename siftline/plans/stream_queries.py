@@ -65,7 +65,8 @@ def _lines(spark, sf):
     ))
     path = F.concat(F.lit("/root/chat/"), conv, F.lit(".jsonl"))
     lines = c.select(F.lit("claude").alias("harness"), path.alias("path"), t.cast("long").alias("line_no"), body.alias("raw"), F.octet_length(body).cast("long").alias("bytes"))
-    return sessions.records(jsonl.parse_lines(lines), {"claude": "/root/chat"}, _at("2024-01-01T00:01:00Z"), _at("2024-01-01T00:04:00Z"))
+    rows = sessions.records(jsonl.parse_lines(lines), {"claude": "/root/chat"}, _at("2024-01-01T00:01:00Z"), _at("2024-01-01T00:04:00Z"))
+    return scratch.stored(rows, scratch.folder(spark, "lines"))
 
 
 def _dependence(harness: str, entry: str, container: str, parent: str, directory: str) -> str:
@@ -128,7 +129,7 @@ def codex_census(spark, sf):
     body = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), kind.alias("type"), payload.alias("payload")))
     lines = e.select(F.lit("codex").alias("harness"), F.concat(F.lit("/root/codex/u"), u.cast("string"), F.lit(".jsonl")).alias("path"), F.col("n").cast("long").alias("line_no"), body.alias("raw"), F.octet_length(body).cast("long").alias("bytes"))
     rows = sessions.records(jsonl.parse_lines(lines), {"codex": "/root/codex"}, _at("2024-01-08T00:00:00Z"), _at("2024-01-22T12:00:00Z"))
-    out = sessions.artifact_census(rows)
+    out = sessions.artifact_census(scratch.stored(rows, scratch.folder(spark, "lines")))
     return out.select("artifact_id", "total_lines", "events", "unknown_types", "session_id", "container_id", "parent_ref", "missing_session_id", "supplemental_ids", "post_cutoff_conflicts", "shape", "source_kind", "status")
 
 
